@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from xmarket.llm import bpe, chat_format, language_id, quality, secret_scan
+from xmarket.llm import bpe, chat_format, embedding_dedup, language_id, packing, quality, secret_scan, sharding, simhash
 from xmarket.llm.words import table
 
 
@@ -16,6 +16,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = language_id.held_out()
@@ -23,6 +27,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", fold.alias("held_out"), "lang_pred", "score")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -30,10 +38,18 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_conversations(rows.unionByName(extra)))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     forest = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -41,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_bpe, op4_language_id, op6_chat_format, op8_secret_scan, op10_quality_rules)
+    named = (op2_bpe, op3_simhash, op4_language_id, op5_embedding_dedup, op6_chat_format, op7_sharding, op8_secret_scan, op9_packing, op10_quality_rules)
     return {f.__name__: f for f in named}
 
 
