@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from xmarket.llm import bpe, chat_format, embedding_dedup, language_id, packing, quality, secret_scan, sharding, simhash
+from xmarket.llm import bpe, chat_format, embedding_dedup, language_id, packing, quality, secret_scan, sharding, simhash, substring_dedup
 from xmarket.llm.words import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.ranges(table(spark, sf_dir, "documents")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -57,7 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_bpe, op3_simhash, op4_language_id, op5_embedding_dedup, op6_chat_format, op7_sharding, op8_secret_scan, op9_packing, op10_quality_rules)
+    named = (op1_substring_dedup, op2_bpe, op3_simhash, op4_language_id, op5_embedding_dedup, op6_chat_format, op7_sharding, op8_secret_scan, op9_packing, op10_quality_rules)
     return {f.__name__: f for f in named}
 
 
