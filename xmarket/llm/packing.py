@@ -1,6 +1,6 @@
 """Lexical retrieval packing.
 
-Texts become token ids (the tokenizers library, through a cache of its results per space-separated chunk) and are
+Texts become token ids (the tokenizers library, through caches of its results) and are
 written once.  Documents are dealt by a hash into shards of about ``shard_tokens`` tokens.  Each shard builds a
 BM25 inverted index over token ids, with document frequencies of the whole corpus (one count per id of the
 vocabulary, which bounds what is collected and sent).  A window starts with a seed document; its
@@ -15,49 +15,90 @@ Documents of any length are packed whole: each id lies in exactly one piece.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from xmarket.llm.bpe import byte_alphabet
 from xmarket.session import written
 
 END_ID, WINDOW = 1, 2048
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 600_000
 K1, B = 1.2, 0.75
 
 
+_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the file's pre-tokenizer
+_UNUSUAL = regex.compile(r"[\x00-\x1f\x7f-\xa0\u0180-\U0010ffff]|<\|")  # not plain Latin, or maybe a special token
+
+
 class ChunkEncoder:
-    """Ids of texts: pieces between ASCII spaces are encoded on their own, which the pre-tokenizer allows as it drops spaces."""
+    """Ids of texts by the tokenizers library, which is asked once for each pre-token that is not in a cache.
+
+    Texts are cut at ASCII spaces, which the pre-tokenizer drops anyway.  A piece of plain Latin letters, for which
+    the normalizer only lowers case, is cut into pre-tokens here and each goes to the library's model; any other
+    piece goes through the whole library.  The rules are those of the file, which is checked to have them.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [(x["type"], x.get("pattern"), x.get("content")) for x in spec["normalizer"]["normalizers"]]
+        split, bytewise = spec["pre_tokenizer"]["pretokenizers"]
+        if steps != [("NFC", None, None), ("Replace", {"Regex": "\\s+"}, " "), ("Lowercase", None, None)] or split["pattern"] != {"Regex": _PRETOKEN.pattern} or bytewise["type"] != "ByteLevel":
+            raise ValueError("the file's normalizer or pre-tokenizer is another one")
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        self._model = self._tokenizer.model
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
-        self._cache: dict[bytes, bytes] = {}
+        self.dtype = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
+        self._bytes = {b: c for c, b in byte_alphabet().items()}
+        self._pretokens, self._chunks = _Memo(self._pretoken), _Memo(self._chunk)
+
+    def _pretoken(self, text: str) -> bytes:
+        mapped = text if text.isascii() else text.encode().decode("latin-1").translate(self._bytes)
+        return np.array([t.id for t in self._model.tokenize(mapped)], self.dtype).tobytes()
+
+    def _chunk(self, data: bytes) -> bytes:
+        text = data.decode()
+        if _UNUSUAL.search(text):
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        text = text.lower()
+        if text.isascii():
+            if text.isalpha():
+                return self._pretokens[text]
+            if text[:-1].isalpha():
+                return self._pretokens[text[:-1]] + self._pretokens[text[-1]]
+        return b"".join([self._pretokens[p] for p in _PRETOKEN.findall(text)])
 
     def encode_batch(self, texts: list[str | None], end: int) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, the end id last."""
-        split = [t.encode().split() if t else [] for t in texts]
-        cache = self._cache
-        fresh = {w for words in split for w in words if w not in cache}
-        if len(cache) + len(fresh) > CACHE_ENTRIES:
-            cache.clear()
-            fresh = {w for words in split for w in words}
-        missing = list(fresh)
-        for at in range(0, len(missing), 8192):
-            part = missing[at : at + 8192]
-            for w, e in zip(part, self._tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        tail = np.array([end], "<u4").tobytes()
-        return [b"".join([*map(cache.__getitem__, words), tail]) for words in split]
+        """Little-endian ids (dtype) of each text, the end id last."""
+        for memo in (self._chunks, self._pretokens):
+            if len(memo) > CACHE_ENTRIES:
+                memo.clear()
+        look, tail = self._chunks.__getitem__, np.array([end], self.dtype).tobytes()
+        return [b"".join(map(look, t.encode().split())) + tail if t else tail for t in texts]
+
+
+class _Memo(dict):
+    """A dict that works out what it misses."""
+
+    def __init__(self, fn):
+        super().__init__()
+        self._fn = fn
+
+    def __missing__(self, key):
+        value = self[key] = self._fn(key)
+        return value
 
 
 @lru_cache(maxsize=2)
@@ -68,7 +109,7 @@ def encoder(path: str) -> ChunkEncoder:
 def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = END_ID) -> DataFrame:
     """(id, ids binary, n): ids as 16-bit numbers if the vocabulary allows, else 32-bit."""
     kind = df.schema[id_col].dataType.simpleString()
-    narrow = encoder(path).vocabulary <= 1 << 16
+    width = np.dtype(encoder(path).dtype).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
@@ -76,10 +117,7 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = own.encode_batch(part.column(1).to_pylist(), end)
-                n = [len(x) // 4 for x in ids]
-                if narrow:
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary()), pa.array(n, pa.int64())], names=[id_col, "ids", "n"])
+                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // width for x in ids], pa.int64())], names=[id_col, "ids", "n"])
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary, n long")
 
@@ -202,8 +240,7 @@ def _powers(pieces: list[tuple[int, int, int, int, int]], last: int, filled: int
 def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard_tokens: int = 2_000_000, end: int = END_ID) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids binary of 32-bit numbers) of every piece."""
     kind = df.schema[id_col].dataType.simpleString()
-    vocabulary = encoder(path).vocabulary
-    dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    vocabulary, dtype = encoder(path).vocabulary, encoder(path).dtype
     tokens = written(tokenize(df, path, id_col, text_col, end), "tokens")
     whole = tokens.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
     frequency = _document_frequencies(tokens, vocabulary, dtype)
