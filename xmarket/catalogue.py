@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xmarket.plans import q_book
+from xmarket.plans import q_book, q_pairs, q_text  # noqa: F401
 from xmarket.plans.registry import ORACLES, QUERIES
 
 

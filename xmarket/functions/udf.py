@@ -9,14 +9,15 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
@@ -37,7 +38,7 @@ def _clean(text: str | None) -> str:
     return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9 ]+", " ", (text or "").lower())).strip()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ro_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of cleaned titles; 0 where one is empty.  The order of the arguments matters."""
     out = []
@@ -82,7 +83,7 @@ def deadline_of(texts: list[str | None]) -> str:
     return found
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def extract_deadline(texts: pd.Series) -> pd.Series:
     """X34 over a column of arrays of texts."""
     return texts.map(lambda t: deadline_of(list(t) if t is not None else []))
