@@ -240,6 +240,7 @@ def marks(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_lim
     """(key, first, n): runs of repeated windows of docs (key, text)."""
     rows = _runs_of(docs, window, prefix)
     shared = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("whole").alias("lo"), F.max("whole").alias("hi")).where("c > 1")
+    shared = written(shared, "shared")  # a table of its own, so that a hot anchor's rows can be split in the join
     held = written(rows.join(shared.select("anchor", (F.col("lo") == F.col("hi")).alias("single")), "anchor"), "runs")
     whole_single = held.where("single").select("key", "first", "n")
 
@@ -250,6 +251,7 @@ def marks(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_lim
     whole_many = many.join(again, ["anchor", "whole", "n"], "left_semi").select("key", "first", "n")
 
     groups = variants.groupBy("anchor").agg(F.count(F.lit(1)).alias("v"), F.max(~F.col("done")).alias("open")).where("open and v > 1")
+    groups = written(groups, "groups")
     asked = variants.join(groups.select("anchor", (F.col("v") > group_limit).alias("hot")), "anchor")
     asked = written(asked.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "n", "done", "hot")).alias("asked")), "asked")  # at most the runs of one text
     joined = docs.join(asked, "key")
