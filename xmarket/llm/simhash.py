@@ -92,7 +92,9 @@ def variants(nodes: DataFrame) -> DataFrame:
         flips = [0, *(1 << i for i in range(64) if i // WIDTH != block)]
         balls += [(block, *(x - (1 << 64) if x >> 63 else x for x in (keep, flip))) for flip in flips]
     ball = F.array(*(F.struct(F.lit(b).cast("tinyint").alias("block"), F.lit(k).cast("long").alias("keep"), F.lit(f).cast("long").alias("flip")) for b, k, f in balls))
-    rows = nodes.select("fp", F.explode(ball).alias("b"))
+    # few rows come in and many go out: deal them by a hash of their own, which isn't taken for the one of the grouping above
+    spread = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = nodes.select("fp").repartition(spread, F.xxhash64("fp")).select("fp", F.explode(ball).alias("b"))
     return rows.select("b.block", F.col("fp").bitwiseAND(F.col("b.keep")).bitwiseXOR(F.col("b.flip")).alias("variant"), "fp")
 
 
