@@ -1,15 +1,19 @@
 """SimHash near-dedup by meet-in-the-middle ball hashing.
 
-Fingerprints within ``RADIUS`` = 3 bits link.  Half of 3 is 1.5, so the odd bit is absorbed by a mask: the 64
-bits are cut into BLOCKS blocks, each block in turn is masked, and the fingerprint emits the masked value
-and all its variants one flipped bit away.  If two fingerprints differ in at most three bits, some block
-covers one of them; without it they differ in at most two, so their one-bit balls meet in a common variant.
-Variants are shuffled, members of a bucket are verified on all 64 bits, and a bucket gives a spanning
-forest of its links instead of all its pairs.  Components come from alternating stars.
+Fingerprints within a radius link.  A ball of one bit around each of two fingerprints meets if they differ in
+two bits; what the radius has beyond that is absorbed by a mask: the 64 bits are cut into blocks, each block in
+turn is masked, and the fingerprint emits the masked value and all its variants one flipped bit away.  Of r
+differing bits the fullest of b blocks holds at least r / b, so with r - ceil(r / b) <= 2 the balls meet under
+some mask: 4 blocks serve a radius of 3, 2 blocks one of 5.  Variants are shuffled, members of a bucket are
+verified on all 64 bits, and a bucket gives a spanning forest of its links instead of all its pairs.
+Components come from alternating stars.
 
-Bounds: only distinct fingerprints are emitted, (64 - 16 + 1) * 4 = 196 rows each.  A bucket's members lie
-within one bit of one masked value, so it holds at most 49 * 2^16 fingerprints whatever the input; inside
-it a search looks neighbours up by their bits instead of comparing all pairs.
+Bounds: only distinct fingerprints are emitted, 196 rows each for 4 blocks and 66 for 2.  With 4 blocks a bucket's
+members lie within one bit of one masked value, so it holds at most 49 * 2^16 fingerprints whatever the input, and
+a search in it looks neighbours up by their bits instead of comparing all pairs.
+
+near_copies() serves corpora: its fingerprints are of distinct words, links within 5 bits are candidates, and a
+candidate stays if the texts' word shingles have a Jaccard similarity of at least 0.8.
 
 Defined results: a null or wordless text has fingerprint zero and links like any other; fewer words than
 a shingle give one shingle; rows with a null id take part, and a component of null ids alone has a null
@@ -19,7 +23,10 @@ empty result.  Whole texts are read, in slices of bounded memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+import string
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -32,12 +39,31 @@ from xmarket.operators.graph import connected_components
 from xmarket.session import written
 from xmarket.llm.words import map_arrow
 
-RADIUS, BLOCKS, WIDTH = 3, 4, 16
 SEED = 42
 _SLICE = 1 << 16
+_ENDS = string.punctuation.encode()
 _DENSE = 1 << 11  # buckets above this size look neighbours up by bits
 
 
+@dataclass(frozen=True)
+class Ball:
+    """A radius and the number of blocks that are masked in turn."""
+
+    radius: int = 3
+    blocks: int = 4
+
+    def __post_init__(self) -> None:
+        if 64 % self.blocks or self.radius - math.ceil(self.radius / self.blocks) > 2:
+            raise ValueError("the balls would not meet: radius - ceil(radius / blocks) must be at most 2")
+
+    @property
+    def width(self) -> int:
+        return 64 // self.blocks
+
+
+BALL = Ball()
+
+
 def fingerprint(text: str | None, shingle: int = 3, seed: int = SEED) -> int:
     """SimHash of the XXH64 values of word shingles, ASCII upper case lowered; unsigned 64 bits."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
@@ -73,81 +99,87 @@ def _majority(counts: np.ndarray, shingles: list[bytes], seed: int, n: int) -> i
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+def word_fingerprint(text: str | None, seed: int = SEED) -> int:
+    """SimHash of the distinct words of a text, ASCII upper case lowered and ASCII punctuation at their ends dropped."""
+    words = {w.strip(_ENDS) for w in text.encode("utf-8", "surrogatepass").lower().split()} if text else set()
+    kept = sorted(words - {b""})
+    return _majority(np.zeros(64, np.int64), kept, seed, len(kept)) if kept else 0
+
+
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: Callable[[str | None], int] = fingerprint) -> DataFrame:
     """(id, fp long) of every row; fp holds the unsigned fingerprint's bits."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
+        fp = np.array([of(t) for t in batch.column(1).to_pylist()], np.uint64)
         return pa.record_batch([batch.column(0), pa.array(fp.view(np.int64))], names=[id_col, "fp"])
 
     return map_arrow(df.select(id_col, text_col), run, f"`{id_col}` {kind}, fp long")
 
 
-def variants(nodes: DataFrame) -> DataFrame:
+def variants(nodes: DataFrame, ball: Ball = BALL) -> DataFrame:
     """(block, variant, fp): every fingerprint's one-bit ball under each mask."""
     balls = []
-    for block in range(BLOCKS):
-        keep = ~(((1 << WIDTH) - 1) << (block * WIDTH)) & (1 << 64) - 1
-        flips = [0, *(1 << i for i in range(64) if i // WIDTH != block)]
+    for block in range(ball.blocks):
+        keep = ~(((1 << ball.width) - 1) << (block * ball.width)) & (1 << 64) - 1
+        flips = [0, *(1 << i for i in range(64) if i // ball.width != block)]
         balls += [(block, *(x - (1 << 64) if x >> 63 else x for x in (keep, flip))) for flip in flips]
-    ball = F.array(*(F.struct(F.lit(b).cast("tinyint").alias("block"), F.lit(k).cast("long").alias("keep"), F.lit(f).cast("long").alias("flip")) for b, k, f in balls))
+    every = F.array(*(F.struct(F.lit(b).cast("tinyint").alias("block"), F.lit(k).cast("long").alias("keep"), F.lit(f).cast("long").alias("flip")) for b, k, f in balls))
     # few rows come in and many go out: deal them by a hash of their own, which isn't taken for the one of the grouping above
     spread = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = nodes.select("fp").repartition(spread, F.xxhash64("fp")).select("fp", F.explode(ball).alias("b"))
+    rows = nodes.select("fp").repartition(spread, F.xxhash64("fp")).select("fp", F.explode(every).alias("b"))
     return rows.select("b.block", F.col("fp").bitwiseAND(F.col("b.keep")).bitwiseXOR(F.col("b.flip")).alias("variant"), "fp")
 
 
-_NEAR = [np.array([sum(1 << i for i in c) for k in range(r + 1) for c in combinations(range(WIDTH), k)], np.int64) for r in range(RADIUS + 1)]
-
+def bucket_forest(fps: np.ndarray, block: int, ball: Ball = BALL) -> list[tuple[int, int]]:
+    """(member, neighbour) edges of a spanning forest of the links among a bucket's distinct fingerprints."""
+    return _by_bits(fps, block, ball) if len(fps) > _DENSE and ball.width <= 16 else _by_scan(fps, ball.radius)
 
-def bucket_forest(fps: np.ndarray, block: int) -> list[tuple[int, int]]:
-    """(member, root) edges of a spanning forest of the links among a bucket's distinct fingerprints."""
-    return _by_bits(fps, block) if len(fps) > _DENSE else _by_scan(fps)
 
-
-def _by_scan(fps: np.ndarray) -> list[tuple[int, int]]:
+def _by_scan(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     edges, rest = [], fps
     while len(rest) > 1:
-        root, rest = int(rest[0]), rest[1:]
-        todo = [root]
+        todo, rest = [int(rest[0])], rest[1:]
         while todo and len(rest):
-            near = np.bitwise_count(rest ^ np.uint64(todo.pop())) <= RADIUS
+            here = todo.pop()
+            near = np.bitwise_count(rest ^ np.uint64(here)) <= radius
             found = rest[near].tolist()
             rest = rest[~near]
             todo += found
-            edges += [(x, root) for x in found]
+            edges += [(x, here) for x in found]
     return edges
 
 
-def _by_bits(fps: np.ndarray, block: int) -> list[tuple[int, int]]:
-    shift = np.uint64(block * WIDTH)
-    inner = ((fps >> shift) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
-    outer, group = np.unique(fps & ~np.uint64(((1 << WIDTH) - 1) << (block * WIDTH)), return_inverse=True)
+def _by_bits(fps: np.ndarray, block: int, ball: Ball) -> list[tuple[int, int]]:
+    size, start_bit = 1 << ball.width, block * ball.width
+    offsets = [np.array([sum(1 << i for i in c) for k in range(r + 1) for c in combinations(range(ball.width), k)], np.int64) for r in range(ball.radius + 1)]
+    inner = ((fps >> np.uint64(start_bit)) & np.uint64(size - 1)).astype(np.int64)
+    outer, group = np.unique(fps & ~np.uint64((size - 1) << start_bit), return_inverse=True)
     apart = np.bitwise_count(outer[:, None] ^ outer[None, :])
-    here = np.zeros((len(outer), 1 << WIDTH), bool)
+    here = np.zeros((len(outer), size), bool)
     here[group, inner] = True
+    whole = lambda g, x: int(outer[g]) | x << start_bit
     edges = []
     for start in range(len(fps)):
         if not here[group[start], inner[start]]:
             continue
         here[group[start], inner[start]] = False
-        root, todo = int(fps[start]), [(int(group[start]), int(inner[start]))]
+        todo = [(int(group[start]), int(inner[start]))]
         while todo:
             g, x = todo.pop()
-            for other in np.flatnonzero(apart[g] <= RADIUS).tolist():
-                near = x ^ _NEAR[RADIUS - int(apart[g, other])]
+            for other in np.flatnonzero(apart[g] <= ball.radius).tolist():
+                near = x ^ offsets[ball.radius - int(apart[g, other])]
                 found = near[here[other, near]]
                 if len(found):
                     here[other, found] = False
                     todo += [(other, y) for y in found.tolist()]
-                    edges += [(int(outer[other]) | y << (block * WIDTH), root) for y in found.tolist()]
+                    edges += [(whole(other, y), whole(g, x)) for y in found.tolist()]
     return edges
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """(src, dst): per bucket a spanning forest of the fingerprints that link in it."""
-    dealt = variants(nodes).repartition("block", "variant").sortWithinPartitions("block", "variant")
+def links(nodes: DataFrame, ball: Ball = BALL) -> DataFrame:
+    """(src, dst): per bucket a spanning forest of the fingerprints that link in it; every row is a link itself."""
+    dealt = variants(nodes, ball).repartition("block", "variant").sortWithinPartitions("block", "variant")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the bucket that may go on in the next batch
@@ -162,34 +194,34 @@ def links(nodes: DataFrame) -> DataFrame:
             edges: list[tuple[int, int]] = []
             first, last = (int(block[0]), int(variant[0])), (int(block[-1]), int(variant[-1]))
             if key is not None and key != first:
-                edges += _closed(held, key[0])
+                edges += _closed(held, key[0], ball)
                 held, key = [], None
             if len(starts) == 1:
                 held, key = [*held, fp.copy()], last
             else:
                 if key == first:
-                    edges += _closed([*held, fp[: ends[0]]], key[0])
+                    edges += _closed([*held, fp[: ends[0]]], key[0], ball)
                 else:
-                    edges += _closed([fp[: ends[0]]], first[0])
+                    edges += _closed([fp[: ends[0]]], first[0], ball)
                 sizes = (ends - starts)[1:-1]
                 twos = starts[1:-1][sizes == 2]
                 a, b = fp[twos], fp[twos + 1]
-                near = np.bitwise_count(a ^ b) <= RADIUS
+                near = np.bitwise_count(a ^ b) <= ball.radius
                 edges += zip(a[near].tolist(), b[near].tolist(), strict=True)
                 for s, e in zip(starts[1:-1][sizes > 2].tolist(), ends[1:-1][sizes > 2].tolist(), strict=True):
-                    edges += bucket_forest(fp[s:e], int(block[s]))
+                    edges += bucket_forest(fp[s:e], int(block[s]), ball)
                 held, key = [fp[starts[-1] :].copy()], last
             if edges:
                 yield _edge_batch(edges)
-        if key is not None and (edges := _closed(held, key[0])):
+        if key is not None and (edges := _closed(held, key[0], ball)):
             yield _edge_batch(edges)
 
     return dealt.mapInArrow(run, "src long, dst long")
 
 
-def _closed(parts: list[np.ndarray], block: int) -> list[tuple[int, int]]:
+def _closed(parts: list[np.ndarray], block: int, ball: Ball) -> list[tuple[int, int]]:
     fps = np.concatenate(parts) if len(parts) > 1 else parts[0]
-    return bucket_forest(fps, block) if len(fps) > 1 else []
+    return bucket_forest(fps, block, ball) if len(fps) > 1 else []
 
 
 def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -197,23 +229,76 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["src", "dst"])
 
 
-def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ball: Ball = BALL) -> DataFrame:
     """(id, fingerprint of 16 hex digits, component_id) of every row."""
-    fps = written(fingerprints(df, id_col, text_col, shingle), "fingerprints")
+    fps = written(fingerprints(df, id_col, text_col), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
-    found = connected_components(links(nodes))
+    found = connected_components(links(nodes, ball))
     labelled = nodes.join(found, nodes.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     mins = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = labelled.join(mins, "component").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """The rows of df, unchanged, that have the smallest id of their component; of rows that share an id, one.
+def shingle_similarity(a: str | None, b: str | None, shingle: int = 5) -> float:
+    """Jaccard similarity of the sets of word shingles, ASCII upper case lowered; texts without words are alike."""
+    x, y = _shingles(a, shingle), _shingles(b, shingle)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def _shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    return set(zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else ({tuple(words)} if words else set())
+
+
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, ball: Ball = Ball(5, 2)) -> DataFrame:
+    """(id, component_id) of every row: texts whose word shingles are similar, found by fingerprints of their words.
+
+    Nodes are distinct texts (by a 64-bit hash).  Texts of one fingerprint hang on the one with the smallest hash;
+    fingerprints that link in a bucket are joined by their smallest texts.  Each such edge is verified on the
+    whole texts.  Edges are at most one per text, and one per fingerprint and bucket.
+    """
+    keyed = df.select(F.col(id_col), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("key"))
+    rows = written(_with_fp(keyed, id_col), "words")
+    texts = rows.groupBy("key").agg(F.min(id_col).alias("least"), F.min("fp").alias("fp"))
+    texts = written(texts, "texts")
+    heads = texts.groupBy("fp").agg(F.min("key").alias("head"))
+    heads = written(heads, "heads")
+    found = links(heads.select("fp"), ball).distinct()
+    across = found.join(heads.select(F.col("fp").alias("src"), F.col("head").alias("a")), "src").join(heads.select(F.col("fp").alias("dst"), F.col("head").alias("b")), "dst").select("a", "b")
+    within = texts.join(heads, "fp").where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b"))
+    edges = written(across.unionByName(within), "candidates")
+    whole = keyed.select("key", "text").join(edges.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").dropDuplicates(["key"])
+    whole = written(whole, "sources")
+    pairs = edges.join(whole.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(whole.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
+
+    def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
+        near = [shingle_similarity(x, y, shingle) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        return batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    true = map_arrow(pairs.select("a", "b", "x", "y"), verify, "a long, b long")
+    parts = connected_components(true, "a", "b")
+    labelled = texts.join(parts, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("component", "key").alias("component"))
+    mins = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    return rows.join(labelled.join(mins, "component").select("key", "component_id"), "key").select(id_col, "component_id")
+
+
+def _with_fp(keyed: DataFrame, id_col: str) -> DataFrame:
+    kind = keyed.schema[id_col].dataType.simpleString()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fp = np.array([word_fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
+        return pa.record_batch([batch.column(0), batch.column(2), pa.array(fp.view(np.int64))], names=[id_col, "key", "fp"])
+
+    return map_arrow(keyed.select(id_col, "text", "key"), run, f"`{id_col}` {kind}, key long, fp long")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of df, unchanged, that have the smallest id of their group of near copies; of rows that share an id, one.
 
     Rows whose id is null can't be told apart by it and stay.
     """
-    marked = components(df.where(F.col(id_col).isNotNull()), id_col, text_col, shingle)
+    marked = near_copies(df.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, similarity)
     roots = marked.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__root")).distinct()
     kept = df.join(roots, F.col(id_col) == F.col("__root"), "left_semi").dropDuplicates([id_col])
     return kept.unionByName(df.where(F.col(id_col).isNull()))
