@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xmarket.plans import q_book, q_decisions, q_envelopes, q_pairs, q_sync, q_text  # noqa: F401
+from xmarket.plans import q_book, q_decisions, q_envelopes, q_more, q_pairs, q_sync, q_text  # noqa: F401
 from xmarket.plans.registry import ORACLES, QUERIES
 
 

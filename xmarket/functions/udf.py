@@ -53,34 +53,40 @@ _DATE = re.compile(
     re.I,
 )
 _MONTHS = {m: i for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
-_FALLBACK = re.compile(r"\bif\b.{0,80}\b(?:not|no|none)\b.{0,80}\b(?:by|known|announced)\b", re.I | re.S)
+_OTHER = re.compile(r"\bresolve\w*\s+to\s+[\"']?other\b", re.I)
+_IF = re.compile(r"\bif\b", re.I)
+_NO_WINNER = re.compile(r"\bif\b.{0,80}\b(?:no winner|no result|nothing|none)\b.{0,35}\bby\s*$", re.I)
 _LEFT_SCORES = (
-    (6, re.compile(r"\b(?:deadline|no later than)\W*$", re.I)),
-    (5, re.compile(r"\b(?:by|before|until|through|prior to)\W*$", re.I)),
-    (4, re.compile(r"\b(?:by|before|until|through)\b.{0,25}$", re.I)),
-    (3, re.compile(r"\b(?:on|held|scheduled|ceremony)\b.{0,25}$", re.I)),
+    (5, re.compile(r"\b(?:ceremony|event|game|match)\b.{0,30}\b(?:held|take place|scheduled)?\s*on\s*$", re.I)),
+    (4, re.compile(r"\b(?:by|before|until|through)\s*$", re.I)),
+    (3, re.compile(r"\b(?:held|take place|scheduled)\s+(?:for|on)\s*$", re.I)),
+    (2, re.compile(r"\bon\s*$", re.I)),
 )
 
 
 def deadline_of(texts: list[str | None]) -> str:
-    """The date that the texts give most weight: what stands left of it, then the earlier text, then the later place."""
-    best: tuple[int, int, int] | None = None
-    found = ""
-    for order, text in enumerate(texts):
-        for m in _DATE.finditer(text or ""):
-            start = max((text or "").rfind(c, 0, m.start()) for c in ".!?\n") + 1
-            if _FALLBACK.search((text or "")[start : m.start()]):
-                continue
-            left = (text or "")[max(start, m.start() - 40) : m.start()]
-            score = next((s for s, p in _LEFT_SCORES if p.search(left)), 2)
+    """The date that the texts give most weight: by what stands left of it, then the earlier text, then the later place.
+
+    Dates of fallback clauses don't count; in texts of up to 60 characters any date does.
+    """
+    best: tuple[int, int, int, str] | None = None
+    for order, text in enumerate(t or "" for t in texts):
+        for m in _DATE.finditer(text):
             try:
-                day = pd.Timestamp(int(m[3]), _MONTHS[m[1][:3].lower()], int(m[2]))
+                day = f"{pd.Timestamp(int(m[3]), _MONTHS[m[1][:3].lower()], int(m[2])):%Y-%m-%d}"
             except ValueError:
                 continue
-            key = (score, -order, m.start())
-            if best is None or key > best:
-                best, found = key, f"{day:%Y-%m-%d}"
-    return found
+            start = max(text.rfind(c, 0, m.start()) for c in ".\n") + 1
+            stop = text.find(".", m.end())
+            sentence = text[start : stop if stop >= 0 else len(text)]
+            if (_IF.search(sentence) and _OTHER.search(sentence)) or _NO_WINNER.search(text[start : m.start()]):
+                continue
+            left = text[max(0, m.start() - 70) : m.start()]
+            score = 6 if len(text) <= 60 else next((s for s, p in _LEFT_SCORES if p.search(left)), 0)
+            if score:
+                key = (score, -order, m.start(), day)
+                best = key if best is None or key > best else best
+    return best[3] if best else ""
 
 
 @F.pandas_udf(StringType())

@@ -76,11 +76,14 @@ def decision_weight(confidence, quality, score, stage):
     return (F.bround(confidence * 10000, 0) + F.coalesce(quality, F.lit(0)) + 10 * F.coalesce(score, F.lit(0)) + bonus).cast("long")
 
 
+def bridges(records: DataFrame, order) -> DataFrame:
+    """Of valid contract matches the first per contract key in a window's order."""
+    good = records.where("status = 'valid' and decision = 'MATCH' and candidate_type <> 'event'")
+    return good.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
+
+
 def consolidate(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(event matches, contract bridges) from decisions (pair_id, candidate_type, status, decision, weight, ids)."""
-    good = records.where("status = 'valid' and decision = 'MATCH'")
-    events = maximum_weight_matching(good.where("candidate_type = 'event'"))
+    events = maximum_weight_matching(records.where("status = 'valid' and decision = 'MATCH' and candidate_type = 'event'"))
     key = ["k_id", "p_id", "k_bet_id", "p_bet_id"]
-    w = Window.partitionBy(*key).orderBy(F.desc("weight"), "pair_id")
-    bridges = good.where("candidate_type <> 'event'").withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return events, bridges.orderBy(*key)
+    return events, bridges(records, Window.partitionBy(*key).orderBy(F.desc("weight"), "pair_id")).orderBy(*key)

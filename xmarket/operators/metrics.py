@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from xmarket.functions.pricing import estimated_tokens
-from xmarket.operators.decisions import explicit_no
 
 col = F.col
 
@@ -51,15 +50,18 @@ def manifest(df: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy("s.dimension", "s.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def threshold_sweep(df: DataFrame, thresholds: list[float]) -> DataFrame:
-    """Accepted and unsafe rejections per threshold and strategy; thresholds are a small list, exploded onto rows.
+def eligible(threshold: Column | float, strategy: str) -> Column:
+    """whether a no may be rejected without review: any, explicit (a conflict, two pieces of evidence) or strict (nothing missing)."""
+    no = (col("decision") == "NO_MATCH") & (col("status") == "valid") & (col("confidence") >= threshold)
+    explicit = no & (F.size("conflicts") > 0) & (F.size("evidence") >= 2)
+    return {"any": no, "explicit": explicit, "strict": explicit & (F.size("missing") == 0)}[strategy]
 
-    Strategies: any (a no at the threshold), explicit (with two pieces of evidence), strict (and no missing field).
-    """
+
+def threshold_sweep(df: DataFrame, thresholds: list[float]) -> DataFrame:
+    """Accepted and unsafe rejections per threshold and strategy of eligible(); thresholds are exploded onto rows."""
     rows = df.select("*", F.explode(F.array(*(F.lit(t) for t in thresholds))).alias("threshold"))
-    no = (col("decision") == "NO_MATCH") & (col("status") == "valid") & (col("confidence") >= col("threshold"))
-    explicit = no & (F.size("conflicts") > 0) & (F.size("evidence") >= 2)
-    long = rows.select("threshold", "expected", F.explode(F.array(*(F.struct(F.lit(n).alias("strategy"), t.alias("accept")) for n, t in (("any", no), ("explicit", explicit), ("strict", explicit & (F.size("missing") == 0)))))).alias("s")).select("threshold", "expected", "s.*")
+    tests = F.array(*(F.struct(F.lit(n).alias("strategy"), eligible(col("threshold"), n).alias("accept")) for n in ("any", "explicit", "strict")))
+    long = rows.select("threshold", "expected", F.explode(tests).alias("s")).select("threshold", "expected", "s.*")
     return long.groupBy("strategy", "threshold").agg(F.count_if("accept").alias("accepted"), F.count_if(col("accept") & (col("expected") == "MATCH")).alias("unsafe"))
 
 
@@ -172,5 +174,3 @@ def budget_split(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     keys = [c for c in df.columns if c.endswith("id")]
     return df.join(head.select(*keys, "in_budget"), keys, "left").withColumn("in_budget", F.coalesce("in_budget", F.lit(False)))
 
-
-__all__ = ["audit", "best_threshold", "budget_split", "choose_best", "confusion", "confusion_by_segment", "confusion_counts", "estimate", "explicit_no", "holdout", "holdout_of_five", "manifest", "meets_quality", "monthly_cost", "priority", "priority_bucket", "project_cost", "risk_segment", "stratified", "tag_histogram", "threshold_sweep", "uncertain", "usage_summary"]

@@ -1,4 +1,4 @@
-"""Outcome candidates: keys, subjects, deadlines, compatibility, ranking and bundles."""
+"""Outcome candidates: keys, subjects, deadlines, scopes, compatibility, ranking and bundles."""
 
 from __future__ import annotations
 
@@ -6,61 +6,208 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from xmarket.functions.text import disjoint, named, outcome_phrase, overlaps, squeeze, strings
+from xmarket.functions import category
+from xmarket.functions import outcome_lexicon as ox
+from xmarket.functions.text import disjoint, label, literal_map, named, overlaps, safe_text, squeeze, strings
+from xmarket.functions.udf import ascii_fold, extract_deadline
+from xmarket.session import written
 
 col = F.col
-# Aliases of whole subjects, and words that make a subject generic.
+# Aliases of whole subjects.
 SUBJECT_ALIASES = {
     "u s": "united states", "u s a": "united states", "usa": "united states", "us": "united states", "united states of america": "united states",
     "korea republic": "south korea", "republic of korea": "south korea", "czech republic": "czechia", "cote d ivoire": "ivory coast",
     "cote divoire": "ivory coast", "dr congo": "democratic republic of congo", "drc": "democratic republic of congo",
     "uae": "united arab emirates", "uk": "united kingdom", "england": "england", "great britain": "england",
 }
-GENERIC_SUBJECTS = ("", "yes", "no", "other", "none", "any", "over", "under", "draw", "tie")
-_MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|jun|jul|aug|sep|sept|oct|nov|dec"
+NONE = "array<string>"
 
 
-def strip_outcome_suffix(title: Column, outcome: Column) -> Column:
-    """The base of a title of the form `base [outcome]`."""
-    tail = F.concat(F.lit(" ["), outcome, F.lit("]"))
-    return F.when(title.endswith(tail), F.substring(title, F.lit(1), F.length(title) - F.length(tail))).otherwise(title)
+def phrase(c: Column) -> Column:
+    """A phrase in the spelling of outcomes, an alias for it as a whole applied."""
+    return _spelled(ascii_fold(safe_text(c)))
 
 
-def drops_no_side(outcome: Column, title: Column) -> Column:
-    """the row is the No side of a yes/no market."""
-    return (F.lower(F.trim(F.coalesce(outcome, F.lit("")))) == "no") | F.coalesce(title, F.lit("")).rlike(r"(?i)[\[(]no[\])]\s*$")
+def _spelled(c: Column) -> Column:
+    """phrase() of text that is ASCII already."""
+    text = F.replace(F.lower(safe_text(c)), F.lit("&"), F.lit(" and "))
+    text = F.regexp_replace(F.translate(text, "’`", "''"), r"\b(men|women)'s\b", "$1s")
+    text = squeeze(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\bu\.s\.a\.\b", "usa"), r"\bu\.s\.\b", "us"), r"[^a-z0-9.#%$]+", " "))
+    return F.coalesce(F.element_at(literal_map(SUBJECT_ALIASES), text), text)
 
 
 def subject_key(c: Column) -> Column:
-    """The phrase, or what a whole-string alias makes of it."""
-    from xmarket.functions.text import literal_map
+    """X10."""
+    return phrase(c)
+
+
+def tokens(text: Column) -> Column:
+    """X11: tokens of a phrase(): words over one letter that are no stop words, known phrases, groups; sorted."""
+    words = F.filter(F.split(text, " "), lambda w: (F.length(w) > 1) & ~w.isin(*ox.STOP_WORDS))
+    plain = F.transform(words, lambda w: F.when(w == "ipos", F.lit("ipo")).otherwise(w))
+    group = F.transform(F.regexp_extract_all(text, F.lit(r"\bgroup\s+([a-z])\b"), F.lit(1)), lambda g: F.concat(F.lit("group "), g))
+    return F.array_sort(F.array_distinct(F.concat(plain, named(text, ox.PHRASES), group)))
+
+
+def meaningful(keywords: Column) -> Column:
+    """X11: keywords that are neither generic nor numbers."""
+    return F.filter(keywords, lambda w: ~w.isin(*ox.GENERIC_TOKENS) & ~w.rlike("^[0-9]+$"))
+
+
+def strip_outcome_suffix(title: Column) -> tuple[Column, Column]:
+    """A title without its [Yes] or (No) at the end, and the side."""
+    pattern = r"(?i)\s*[\[\(]\s*(yes|no)\s*[\]\)]\s*$"
+    return F.trim(F.regexp_replace(safe_text(title), pattern, "")), F.lower(F.regexp_extract(safe_text(title), pattern, 1))
 
-    plain = squeeze(F.regexp_replace(outcome_phrase(c), r"[.#%$]+", " "))
-    return F.coalesce(F.element_at(literal_map(SUBJECT_ALIASES), plain), plain)
+
+def drops_no_side(outcome: Column, title: Column) -> Column:
+    """the row is the No side of a yes/no market."""
+    return (F.lower(F.trim(F.coalesce(outcome, F.lit("")))) == "no") | (strip_outcome_suffix(title)[1] == "no")
 
 
 def is_generic_subject(c: Column) -> Column:
-    """a generic word, a bare date, year or quarter."""
-    text = subject_key(c)
-    return text.isin(*GENERIC_SUBJECTS) | text.rlike(rf"^(?:{_MONTHS})\s+\d{{1,2}}(?:\s+20\d\d)?$|^20\d\d$|^q[1-4](?:\s+20\d\d)?$")
+    """a generic word, a bare date, year or quarter, or scope words alone."""
+    return _is_generic(phrase(c))
+
 
+def _is_generic(text: Column) -> Column:
+    """is_generic_subject() of a phrase()."""
+    bare = text.rlike(rf"^(?:{ox.MONTHS})\s+\d{{1,2}}(?:\s+20\d{{2}})?$|^(?:q[1-4]\s+)?20\d{{2}}$")
+    return text.isin("", *ox.GENERIC_SUBJECTS) | bare | (F.size(F.array_except(tokens(text), strings(ox.SCOPE_WORDS))) == 0)
 
-def subject_from_title(c: Column) -> Column:
-    """Who or what a question is about: `Will X verb ...`, `X to verb ...`, else nothing."""
-    patterns = (r"(?i)^will\s+(.+?)\s+(?:win|be|become|make|reach|leave|visit|release|announce|get|run|have|qualify|advance)\b", r"(?i)^(.+?)\s+to\s+(?:win|be|become|make|reach|leave|visit|release|announce|qualify|advance)\b")
-    found = [F.trim(F.regexp_extract(c, p, 1)) for p in patterns]
-    return F.coalesce(*(F.when(f != "", f) for f in found), F.lit(""))
+
+def _subject(title: Column, pattern: str) -> Column:
+    return squeeze(F.regexp_replace(F.regexp_extract(safe_text(title), pattern, 1), r"(?i)\b(any|a|an|the)\b", " "))
+
+
+def with_subject_from_title(df: DataFrame, title_col: str, out: str = "subject") -> DataFrame:
+    """Who or what a question is about; empty if nobody.  Steps of columns, so that no phrase is spelled twice."""
+    raw = [f"_s{i}" for i in range(len(ox.SUBJECT_PATTERNS))]
+    df = df.withColumns({n: _subject(col(title_col), p) for n, p in zip(raw, ox.SUBJECT_PATTERNS, strict=True)})
+    df = df.withColumns({f"{n}p": _spelled(col(n)) for n in raw})
+    found = F.coalesce(*(F.when((col(n) != "") & ~_is_generic(col(f"{n}p")), col(n)) for n in raw), F.lit(""))
+    return df.withColumn(out, found).drop(*raw, *(f"{n}p" for n in raw))
 
 
 def intent_without_subject(intent: Column, subject: Column) -> Column:
-    """The subject taken out of the market's intent, as whole words."""
+    """The market's phrase without the subject's and without question words."""
     quoted = F.concat(F.lit(r"\b\Q"), subject, F.lit(r"\E\b"))
-    return squeeze(F.when(subject == "", intent).otherwise(F.regexp_replace(intent, quoted, F.lit(" "))))
+    rest = F.when(subject == "", intent).otherwise(F.regexp_replace(intent, quoted, F.lit(" ")))
+    return squeeze(F.regexp_replace(rest, r"\b(will|who|which|what|when|where|does|is|are)\b", " "))
+
+
+def actor_key(text: Column) -> Column:
+    """Who acts, where the question, a phrase(), is what they do."""
+    found = []
+    for p in ox.ACTOR_PATTERNS:
+        a = F.regexp_extract(text, p, 1)
+        found.append(F.when(~a.isin("", "who", "someone", "anyone"), F.coalesce(F.element_at(literal_map(SUBJECT_ALIASES), a), a)))
+    return F.coalesce(*found, F.lit(""))
 
 
 def event_years(c: Column) -> Column:
-    """Years that are no deadline: none of before, by, until, through within 25 characters before them."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?i)(?<!\b(?:before|by|until|through)\b.{0,25})\b(20[2-3][0-9])\b"), F.lit(1))))
+    """Years that are no deadline: none of before, by, until, through, deadline within 25 characters before them."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"(?<!\b(?:before|by|until|through|deadline)\b.{0,25})\b(20[2-3][0-9])\b"), F.lit(1))))
+
+
+def rank_terms(text: Column) -> Column:
+    """Rank:N by the first way in which the text names a rank."""
+    number = F.regexp_extract(text, r"#\s*(\d+)\b", 1)
+    ordinal = F.regexp_extract(text, r"\b(\d+)(?:st|nd|rd|th)\s+(?:overall\s+pick|place)\b", 1)
+    word = F.regexp_extract(text, r"\b(first|second|third)\s+(?:overall\s+pick|place)\b", 1)
+    implied = text.rlike(r"\b(?:top|most)\b") & text.rlike(r"\b(?:artist|album|song|listeners|scorer)\w*\b")
+    value = (
+        F.when(number != "", number.cast("long").cast("string")).when(text.rlike(r"\blast\s+place\b"), "last").when(ordinal != "", ordinal.cast("long").cast("string"))
+        .when(word != "", F.element_at(literal_map({"first": "1", "second": "2", "third": "3"}), word)).when(text.rlike(r"\b(?:runner[ -]?up|second place)\b"), "2").when(implied, "1")
+    )
+    return F.array_compact(F.array(F.concat(F.lit("rank:"), value)))
+
+
+def with_scope_terms(df: DataFrame, phrase_col: str, out: str = "scope_terms", dimensions: dict[str, str] | None = None) -> DataFrame:
+    """What a market's phrase() asks for, as sorted terms; dimensions may be replaced.
+
+    Works in steps of columns, so that some two hundred patterns run once a row whatever the rules that read them.
+    """
+    df = df.withColumn("_own", tokens(col(phrase_col)))
+    text, own = col(phrase_col), col("_own")
+    tag = lambda prefix, table: F.transform(named(text, table), lambda n: F.concat(F.lit(prefix), n))
+    found = F.concat(
+        F.array_intersect(own, strings(ox.SCOPE_WORDS)), F.filter(own, lambda t: t.startswith("group ")), named(text, ox.SIMPLE_SCOPES), named(text, dimensions or ox.DIMENSIONS),
+        tag("competition:", ox.COMPETITIONS), tag("award_category:", ox.AWARD_CATEGORIES), rank_terms(text),
+    )
+    deadline = r"\b(before|by|until|through)\s+(?:the\s+end\s+of\s+)?(20[2-3]\d)\b"
+    ends = F.arrays_zip(F.regexp_extract_all(text, F.lit(deadline), F.lit(1)).alias("r"), F.regexp_extract_all(text, F.lit(deadline), F.lit(2)).alias("y"))
+    found = F.concat(found, F.transform(ends, lambda e: F.concat(F.lit("deadline_year:"), F.when(e["r"] == "before", e["y"].cast("int") - 1).otherwise(e["y"].cast("int")).cast("string"))))
+    df = df.withColumn("_found", found)
+    has = lambda t: F.array_contains("_found", t)
+    weight = F.regexp_extract(text, r"\b(light\s+heavyweight|flyweight|bantamweight|featherweight|lightweight|welterweight|middleweight|heavyweight)\b", 1)
+    manager = F.coalesce(F.nullif(F.regexp_extract(text, r"\bnext\s+manager\s+of\s+(.+)$", 1), F.lit("")), F.regexp_extract(text, r"\bnext\s+(.+?)\s+manager\b", 1))
+    manager = squeeze(F.regexp_replace(manager, r"\b20[2-3]\d\b", " "))
+    state = text.rlike(r"\bstate\s+(?:house|senate)\b")
+    said = text.rlike(r"\b(?:say|said)\b")
+    live = text.rlike(r"\bnext\s+live\s+announcement\b")
+    wbc = has("competition:wbc")
+    pool = text.rlike(r"\bpool\s+[a-z0-9]+\b")
+    men = ~has("gender:women") & (text.rlike(r"\bmens?\b") | (has("competition:ucl") & ~has("competition:womens_ucl")))
+    add = (
+        ((weight != "") & F.array_contains(own, "ufc"), F.concat(F.lit("weight_class:"), F.replace(weight, F.lit(" "), F.lit("_")))), (manager != "", F.concat(F.lit("manager_target:"), manager)),
+        (state, F.lit("legislative_level:state")), (~state & has("district_race") & has("house"), F.lit("legislative_level:federal")),
+        (wbc & pool, F.lit("competition_stage:pool")), (wbc & ~pool & has("winner"), F.lit("competition_stage:overall")), (men, F.lit("gender:men")),
+        (said & live, F.lit("speech_context:live_announcement")), (said & ~live & has("period:weekly"), F.lit("speech_context:weekly")), (said & ~live & ~has("period:weekly") & has("period:monthly"), F.lit("speech_context:monthly")),
+        (has("winner"), F.lit("rank:1")), (has("election_winner") & ~has("first_round_winner") & ~has("runoff_advancement"), F.lit("overall_election_winner")),
+    )
+    gone = (
+        (has("bond_role_q"), "bond_role_bond"), (has("presidential_run"), "presidential_nomination"), (has("individual_legislative_race"), "national_chamber_control"),
+        (has("award_conference_finals_mvp") | has("award_finals_mvp"), "award_mvp"), (has("ufc_weight_title"), "ufc_any_title"),
+    )
+    more = F.array_compact(F.array(*(F.when(test, value) for test, value in add)))
+    less = F.array_compact(F.array(*(F.when(test, F.lit(value)) for test, value in gone)))
+    return df.withColumn(out, F.array_sort(F.array_except(F.array_union(col("_found"), more), less))).drop("_own", "_found")
+
+
+def context_scope_terms(event_id: Column, category_: Column, sub_category: Column) -> Column:
+    """Competitions, level and gender by the event's id and category (plain text, read as it is)."""
+    text = squeeze(F.regexp_replace(F.lower(F.concat_ws(" ", category_, sub_category)), r"[^a-z0-9.#%$]+", " "))
+    key = F.regexp_replace(F.upper(safe_text(event_id)), "[^A-Z0-9]", "")
+    marks = F.flatten(F.array(*(F.when(key.contains(m), strings(list(v))).otherwise(F.array().cast(NONE)) for m, v in ox.EVENT_MARKERS.items())))
+    women = text.rlike(r"\bwomens?\b")
+    rest = (
+        (text.rlike(r"\b(?:nba|nfl|nhl|mlb|professional)\b"), "sport_level:professional"), (text.rlike(r"\b(?:ncaa[bf]?|ncaab|college)\b"), "sport_level:college"),
+        (women, "gender:women"), (~women & text.rlike(r"\bmens?\b"), "gender:men"),
+    )
+    competitions = F.transform(named(text, ox.COMPETITIONS), lambda n: F.concat(F.lit("competition:"), n))
+    return F.array_sort(F.array_distinct(F.concat(competitions, marks, F.array_compact(F.array(*(F.when(t, F.lit(v)) for t, v in rest))))))
+
+
+def outcome_profiles(rows: DataFrame, venue: str) -> DataFrame:
+    """Outcome profiles of market rows of a venue (columns as in operators.sync): subject, key, intent, scopes, deadline.
+
+    Rows of the No side and rows without a subject are left out; one pass, then a count of subjects per event.
+    """
+    c = lambda name: F.col(f"`{name}`") if name in rows.columns else F.lit("")
+    base = rows.where(~drops_no_side(c("Outcome_Name"), c("Bet Title"))) if venue == "P" else rows
+    base = base.select(
+        F.lit(venue).alias("platform"), safe_text(c("Event ID")).alias("event_id"), safe_text(c("Bet ID")).alias("bet_id"), safe_text(c("Original_Market_ID")).alias("original_market_id"),
+        safe_text(c("Market Title")).alias("market_title"), safe_text(c("Bet Title")).alias("bet_title"), label(c("Category")).alias("category"), label(c("Sub-Category")).alias("sub_category"),
+        (F.coalesce(F.nullif(safe_text(c("Outcome_Name")), F.lit("")), F.lit("Yes")) if venue == "P" else F.lit("Yes")).alias("outcome_name"),
+        F.array(*(safe_text(c(n)) for n in ("Bet_Rules", "Event_Description", "Description", "Bet Title", "Market Title"))).alias("_texts"),
+    )
+    # one column a step: each phrase is folded and spelled once, and later steps only read it
+    base = base.withColumn("_own", strip_outcome_suffix(col("bet_title"))[0] if venue == "P" else col("bet_title"))
+    base = base.withColumns({"_own_p": phrase(col("_own")), "_market_p": phrase(col("market_title")), "_title": ascii_fold(col("market_title"))})
+    base = with_subject_from_title(base, "_title", "_asked_for")
+    base = base.withColumn("_generic", (col("_own_p") == col("_market_p")) | _is_generic(col("_own_p")))
+    base = base.withColumn("outcome_subject", F.when(~col("_generic"), col("_own")).otherwise(col("_asked_for")))
+    base = base.withColumn("subject_source", F.when(~col("_generic"), "bet_title").when(col("_asked_for") != "", "market_title").otherwise(""))
+    base = base.withColumn("outcome_key", F.when(~col("_generic"), col("_own_p")).otherwise(_spelled(col("_asked_for"))))
+    # a table here: a filter on the key would otherwise be pushed down with all that the key is made of written into it
+    base = written(base.drop("_own", "_own_p", "_title", "_asked_for", "_generic"), "subjects").where(~_is_generic(col("outcome_key")))
+    base = base.withColumn("market_intent", intent_without_subject(col("_market_p"), col("outcome_key")))
+    base = base.withColumn("_phrase", _spelled(col("market_intent")))
+    base = base.withColumn("market_keywords", tokens(col("_phrase"))).withColumn("actor", actor_key(col("_market_p"))).withColumn("event_years", event_years(col("market_title"))).drop("_market_p")
+    base = with_scope_terms(base, "_phrase", "_asked").withColumn("_context", context_scope_terms(col("event_id"), col("category"), col("sub_category")))
+    base = base.withColumn("scope_terms", F.array_sort(F.array_union("_asked", "_context"))).withColumn("deadline", extract_deadline(col("_texts"))).drop("_texts", "_asked", "_context", "_phrase")
+    return with_subject_count(written(base, "outcomes"), "event_id")
 
 
 def deadlines_compatible(a: Column, b: Column) -> Column:
@@ -70,8 +217,7 @@ def deadlines_compatible(a: Column, b: Column) -> Column:
 
 def annual_window_conflict(has_window: Column, deadline: Column) -> Column:
     """A whole year against a deadline other than its end or the next year's first day."""
-    day = F.substring(deadline, 6, 5)
-    return has_window & (deadline != "") & ~day.isin("12-31", "01-01")
+    return has_window & (deadline != "") & ~F.substring(deadline, 6, 5).isin("12-31", "01-01")
 
 
 def year_deadline_conflict(years: Column, deadline: Column) -> Column:
@@ -88,12 +234,7 @@ def years_compatible(a: Column, b: Column) -> Column:
 
 def actors_compatible(a: Column, b: Column) -> Column:
     """Unsaid on a side, or a token in common."""
-    return (a == "") | (b == "") | overlaps(F.split(a, " "), F.split(b, " "))
-
-
-def scope_terms(c: Column, dimensions: dict[str, str]) -> Column:
-    """Names of the dimensions (name to pattern, a parameter) that the text matches."""
-    return named(c, dimensions)
+    return (a == "") | (b == "") | overlaps(tokens(a), tokens(b))
 
 
 def namespace_conflict(a: Column, b: Column, prefix: str) -> Column:
@@ -102,45 +243,69 @@ def namespace_conflict(a: Column, b: Column, prefix: str) -> Column:
     return disjoint(of(a), of(b))
 
 
-def scope_conflict(k: str, p: str, exclusive: list[list[str]], namespaces: list[str]) -> Column:
-    """Any of: deadlines, windows, years, actors, groups, exclusive sets of dimensions, namespaces.
+def scope_conflict(k: str, p: str, exclusive: list[list[str]] | None = None, namespaces: list[str] | None = None) -> Column:
+    """Deadlines, windows, years, actors, groups, winner against qualifier, exclusive sets, namespaces, offices and ranks.
 
     k and p are prefixes of the columns scope_terms, deadline, event_years, actor.
     """
     c = lambda side, name: col(f"{side}_{name}")
     ks, ps = c(k, "scope_terms"), c(p, "scope_terms")
-    window = lambda s: F.array_contains(s, "annual_window")
+    has = F.array_contains
+    within = lambda s, names: F.array_intersect(s, strings(names))
     group = lambda s: F.array_sort(F.filter(s, lambda t: t.startswith("group ")))
     out = ~F.coalesce(deadlines_compatible(c(k, "deadline"), c(p, "deadline")), F.lit(True))
-    out = out | annual_window_conflict(window(ks), c(p, "deadline")) | annual_window_conflict(window(ps), c(k, "deadline"))
-    out = out | year_deadline_conflict(c(k, "event_years"), c(p, "deadline")) | year_deadline_conflict(c(p, "event_years"), c(k, "deadline"))
+    for a, b in ((k, p), (p, k)):
+        out = out | annual_window_conflict(has(c(a, "scope_terms"), "period:annual"), c(b, "deadline")) | year_deadline_conflict(c(a, "event_years"), c(b, "deadline"))
+        out = out | (has(c(a, "scope_terms"), "winner") & has(c(b, "scope_terms"), "qualifier"))
     out = out | ~years_compatible(c(k, "event_years"), c(p, "event_years")) | ~actors_compatible(c(k, "actor"), c(p, "actor")) | (group(ks) != group(ps))
-    for names in exclusive:
-        out = out | disjoint(F.array_intersect(ks, strings(names)), F.array_intersect(ps, strings(names)))
-    for prefix in namespaces:
+    out = out | (has(ks, "golden boot") != has(ps, "golden boot"))
+    for names in ox.EXCLUSIVE if exclusive is None else exclusive:
+        out = out | disjoint(within(ks, names), within(ps, names))
+    for prefix in ox.NAMESPACES if namespaces is None else namespaces:
         out = out | namespace_conflict(ks, ps, prefix)
-    return out
-
-
-def meaningful(keywords: Column, generic: list[str]) -> Column:
-    """X11: keywords that are neither generic nor plain numbers."""
-    return F.filter(keywords, lambda w: ~w.isin(*generic) & ~w.rlike("^[0-9]+$")) if generic else F.filter(keywords, lambda w: ~w.rlike("^[0-9]+$"))
+    ranked = lambda s: F.exists(s, lambda t: t.startswith("rank:"))
+    periods = ranked(ks) & ranked(ps) & namespace_conflict(ks, ps, "period:")
+    return out | namespace_conflict(ks, ps, "rank:") | periods | disjoint(within(ks, ox.OFFICES), within(ps, ox.OFFICES)) | disjoint(within(ks, ["seat_count", "city_count"]), within(ps, ["seat_count", "city_count"]))
 
 
 def intent_compatible(shared: Column, shared_scopes: Column, conflicts: Column) -> Column:
-    """No conflict, a shared meaningful keyword, and a second one or a shared scope."""
-    return ~conflicts & (F.size(shared) >= 1) & ((F.size(shared) >= 2) | (F.size(shared_scopes) > 0))
+    """No conflict, a shared meaningful keyword, and a second shared one or a shared scope."""
+    return ~conflicts & (F.size(meaningful(shared)) >= 1) & ((F.size(shared) >= 2) | (F.size(shared_scopes) > 0))
 
 
-def pair_score(shared_market: Column, shared_outcome: Column, equal_subject: Column, shared_scopes: Column, both_multi: Column) -> Column:
+def pair_score(shared_market: Column, shared_outcome: Column, equal_subject: Column, shared_scopes: Column, any_multi: Column) -> Column:
     """R22."""
     point = lambda test, value: F.when(test, F.lit(value)).otherwise(F.lit(0))
-    return F.size(shared_market) + 3 * F.size(shared_outcome) + point(equal_subject, 12) + point(F.size(shared_scopes) > 0, 3) + point(both_multi, 2)
+    return F.size(shared_market) + 3 * F.size(shared_outcome) + point(equal_subject, 12) + point(F.size(shared_scopes) > 0, 3) + point(any_multi, 2)
 
 
 def candidate_type(k_multi: Column, p_multi: Column) -> Column:
     """R22."""
-    return F.when(k_multi & p_multi, "multi_outcome").when(k_multi | p_multi, "mixed_outcome").otherwise("single_outcome")
+    return F.when(k_multi & p_multi, "outcome_outcome").otherwise("event_outcome")
+
+
+def outcome_candidates(k_profiles: DataFrame, p_profiles: DataFrame, per_bet: int = 5) -> DataFrame:
+    """Profiles of both venues joined on the outcome key, compatible ones scored, the best per K bet kept.
+
+    An outcome needs an event with several subjects on a side; ties keep the order of P bet ids.
+    """
+    from xmarket.operators import rules
+
+    def prepared(df: DataFrame, prefix: str) -> DataFrame:
+        feats = rules.pair_features(df.withColumn("title", col("market_title")).withColumn("keywords", col("market_keywords")))
+        return written(rules.side(feats, prefix).withColumn("outcome_key", col(f"{prefix}_outcome_key")), "features")
+
+    pairs = prepared(k_profiles, "k").join(prepared(p_profiles, "p"), "outcome_key")
+    multi = lambda s: col(f"{s}_event_subject_count") > 1
+    shared = F.array_intersect("k_market_keywords", "p_market_keywords")
+    scopes = F.array_intersect("k_scope_terms", "p_scope_terms")
+    conflicts = rules.granularity_conflict() | rules.location_conflict() | rules.sports_conflict() | ~category.categories_overlap(col("k_terms"), col("p_terms")) | scope_conflict("k", "p")
+    kept = pairs.where((multi("k") | multi("p")) & intent_compatible(shared, scopes, conflicts))
+    outcome = F.array_intersect(tokens(col("k_outcome_key")), tokens(col("p_outcome_key")))
+    scored = kept.withColumn("match_score", pair_score(shared, outcome, col("k_outcome_key") == col("p_outcome_key"), scopes, multi("k") | multi("p")))
+    scored = scored.withColumn("candidate_type", candidate_type(multi("k"), multi("p"))).withColumn("shared_market_keywords", F.array_sort(shared)).withColumn("shared_outcome_keywords", outcome)
+    top = top_candidates(scored, ["k_bet_id"], [F.desc("match_score"), F.asc("p_bet_id")], per_bet)
+    return top.select("candidate_type", "match_score", "shared_market_keywords", "shared_outcome_keywords", col("k_event_id").alias("k_event"), col("p_event_id").alias("p_event"), col("k_bet_id").alias("k_bet"), col("p_bet_id").alias("p_bet"), "outcome_key")
 
 
 def with_subject_count(df: DataFrame, event_col: str = "event_id", *more: str, key: str = "outcome_key") -> DataFrame:

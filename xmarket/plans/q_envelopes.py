@@ -170,11 +170,12 @@ def j23_x39_deadlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", outcomes.deadlines_compatible(a, b).alias("compatible"), outcomes.annual_window_conflict(F.lit(True), a).alias("window_conflict"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'the question' END AS subject, 'will win the ' || lower(c_mktsegment) || ' cup' AS intent FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'question' END AS subject, 'win the ' || lower(c_mktsegment) || ' cup' AS intent FROM customer")
 def x33_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.concat(F.lit("Will "), F.when(col("c_custkey") % 2 == 0, col("c_name")).otherwise("the question"), F.lit(" win the cup?"))
     intent = F.concat(F.lit("will "), col("c_name"), F.lit(" win the "), F.lower("c_mktsegment"), F.lit(" cup"))
-    return base(spark, sf_dir, "customer").select("c_custkey", outcomes.subject_from_title(title).alias("subject"), outcomes.intent_without_subject(intent, col("c_name")).alias("intent"))
+    c = base(spark, sf_dir, "customer").select("c_custkey", title.alias("title"), outcomes.intent_without_subject(intent, col("c_name")).alias("intent"))
+    return outcomes.with_subject_from_title(c, "title").select("c_custkey", "subject", "intent")
 
 
 @query(r"""SELECT event_id, CASE WHEN regexp_matches(title, '(?i)\b(before|by|until|through)\b.{0,25}\b20[2-3][0-9]') THEN '' ELSE array_to_string(list_sort(list_distinct(regexp_extract_all(title, '\b(20[2-3][0-9])\b', 1))), '|') END AS years FROM v_titles""")
@@ -182,7 +183,7 @@ def x35_event_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "v_titles").select("event_id", F.array_join(outcomes.event_years(col("title")), "|").alias("years"))
 
 
-@query("SELECT p_partkey, p_size % 4 + 3 * (p_size % 3) + CASE WHEN p_size % 2 = 0 THEN 12 ELSE 0 END + CASE WHEN p_size % 5 = 0 THEN 3 ELSE 0 END + CASE WHEN p_size % 7 = 0 THEN 2 ELSE 0 END AS score, CASE WHEN p_size % 2 = 0 AND p_size % 3 = 0 THEN 'multi_outcome' WHEN p_size % 2 = 0 OR p_size % 3 = 0 THEN 'mixed_outcome' ELSE 'single_outcome' END AS kind FROM part")
+@query("SELECT p_partkey, p_size % 4 + 3 * (p_size % 3) + CASE WHEN p_size % 2 = 0 THEN 12 ELSE 0 END + CASE WHEN p_size % 5 = 0 THEN 3 ELSE 0 END + CASE WHEN p_size % 7 = 0 THEN 2 ELSE 0 END AS score, CASE WHEN p_size % 2 = 0 AND p_size % 3 = 0 THEN 'outcome_outcome' ELSE 'event_outcome' END AS kind FROM part")
 def r22_outcome_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = col("p_size")
     some = lambda n: F.slice(strings(["a", "b", "c", "d"]), F.lit(1), n.cast("int"))
@@ -190,7 +191,7 @@ def r22_outcome_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base(spark, sf_dir, "part").select("p_partkey", score.cast("long").alias("score"), outcomes.candidate_type(s % 2 == 0, s % 3 == 0).alias("kind"))
 
 
-@query("""SELECT p_partkey, (p_size % 2 = 1 AND p_size % 3 = 1) OR p_size % 5 = 0 OR (p_size % 7 = 0) AS conflict FROM part""")
+@query("""SELECT p_partkey, (p_size % 2 = 1 AND p_size % 3 = 1) OR p_size % 5 = 0 OR p_size % 7 = 0 OR p_size % 11 = 0 AS conflict FROM part""")
 def r20_scope_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R20 with one exclusive set, one namespace, and deadlines five days apart."""
     s = col("p_size")
@@ -198,7 +199,7 @@ def r20_scope_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = base(spark, sf_dir, "part").select(
         "p_partkey", terms((s % 2 == 1, "winner"), (F.lit(True), "competition:a")).alias("k_scope_terms"), terms((s % 3 == 1, "qualifier"), (s % 5 == 0, "competition:b")).alias("p_scope_terms"),
         F.lit("2026-03-01").alias("k_deadline"), F.when(s % 7 == 0, "2026-03-06").otherwise("2026-03-02").alias("p_deadline"),
-        F.array().cast("array<string>").alias("k_event_years"), F.array().cast("array<string>").alias("p_event_years"), F.lit("").alias("k_actor"), F.lit("x").alias("p_actor"),
+        F.array().cast("array<string>").alias("k_event_years"), F.array().cast("array<string>").alias("p_event_years"), F.lit("xi").alias("k_actor"), F.when(s % 11 == 0, "putin").otherwise("xi jinping").alias("p_actor"),
     )
     return rows.select("p_partkey", outcomes.scope_conflict("k", "p", [["winner", "qualifier"]], ["competition:"]).alias("conflict"))
 
