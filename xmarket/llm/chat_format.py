@@ -217,17 +217,15 @@ def fold(tree: Any) -> Any:
     """Fold constants: expressions of constants become their value, constant tests choose their arm, text pieces join."""
     if isinstance(tree, list):
         out: list = []
-        for node in tree:
-            node = fold(node)
+        for node in map(fold, tree):
             if node[0] == "print" and node[1][0] == "const":
                 node = ("const", _text(node[1][1]))
-            if node[0] == "if" and node[1] and node[1][0][0] == ("const", True):
-                out += node[1][0][1]
-                continue
-            if node[0] == "const" and out and out[-1][0] == "const":
-                out[-1] = ("const", out[-1][1] + node[1])
-            elif node != ("const", "") and node != ("if", []):
-                out.append(node)
+            taken = node[1][0][1] if node[0] == "if" and node[1] and node[1][0][0] == ("const", True) else [node]
+            for x in taken:
+                if x[0] == "const" and out and out[-1][0] == "const":
+                    out[-1] = ("const", out[-1][1] + x[1])
+                elif x != ("const", "") and x != ("if", []):
+                    out.append(x)
         return out
     kind = tree[0]
     if kind in ("const", "name"):
