@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from xmarket.functions import lexicon as lx
 from xmarket.functions.text import (
-    canonical_keyword, canonical_phrase, has_term, literal_map, mentions, named, overlaps, profile_text, stable_key, strings,
+    canonical_keyword, canonical_phrase, has_term, let, literal_map, mentions, named, overlaps, profile_text, stable_key, strings,
 )
 
 _MONTH = "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
@@ -78,14 +78,17 @@ def locations(c: Column) -> Column:
 
 def thresholds(c: Column) -> Column:
     """Number:unit, where the text speaks of a direction or a measure; years are left out."""
-    text = profile_text(c)
     pattern = r"\b(\d+(?:\.\d+)?)\s*(%|percent|bps|points?|degrees?|usd|dollars?)?"
-    z = F.filter(F.arrays_zip(_all(text, pattern, 1).alias("n"), _all(text, pattern, 2).alias("u")), lambda p: ~p["n"].rlike("^20[2-3][0-9]$"))
     number = lambda n: F.regexp_replace(F.when(n.contains("."), F.regexp_replace(n, "0+$", "")).otherwise(n), r"\.$", "")
     bare = lambda n: F.regexp_replace(number(n), "^0+(?=[0-9])", "")
-    found = F.transform(z, lambda p: F.concat_ws(":", bare(p["n"]), F.when(p["u"] == "", F.lit("number")).otherwise(p["u"])))
-    speaks = (F.size(named(text, lx.DIRECTIONS)) > 0) | text.rlike("%|price|rate|score|temperature")
-    return F.when(speaks, _set(found)).otherwise(F.array().cast("array<string>"))
+
+    def of(text: Column) -> Column:
+        z = F.filter(F.arrays_zip(_all(text, pattern, 1).alias("n"), _all(text, pattern, 2).alias("u")), lambda p: ~p["n"].rlike("^20[2-3][0-9]$"))
+        found = F.transform(z, lambda p: F.concat_ws(":", bare(p["n"]), F.when(p["u"] == "", F.lit("number")).otherwise(p["u"])))
+        speaks = (F.size(named(text, lx.DIRECTIONS)) > 0) | text.rlike("%|price|rate|score|temperature")
+        return F.when(speaks, _set(found)).otherwise(F.array().cast("array<string>"))
+
+    return let(profile_text(c), of)
 
 
 _VERSUS = r"(?i)^(.*?)\s+(?:vs\.?|v\.?|at|@)\s+(.*?)$"
@@ -101,10 +104,13 @@ def fixture_text(c: Column) -> Column:
 
 def participants(c: Column) -> Column:
     """The two sides of a fixture, or nothing."""
-    text = fixture_text(c)
-    sides = F.array(canonical_phrase(F.regexp_extract(text, _VERSUS, 1)), canonical_phrase(F.regexp_extract(text, _VERSUS, 2)))
-    kept = _set(F.filter(sides, lambda s: s != ""))
-    return F.when(text.rlike(_VERSUS) & (F.size(kept) == 2), kept).otherwise(F.array().cast("array<string>"))
+
+    def of(text: Column) -> Column:
+        sides = F.array(canonical_phrase(F.regexp_extract(text, _VERSUS, 1)), canonical_phrase(F.regexp_extract(text, _VERSUS, 2)))
+        kept = lambda k: F.when(F.size(k) == 2, k).otherwise(F.array().cast("array<string>"))
+        return F.when(text.rlike(_VERSUS), let(_set(F.filter(sides, lambda x: x != "")), kept)).otherwise(F.array().cast("array<string>"))
+
+    return let(fixture_text(c), of)
 
 
 def _name_tokens(c: Column) -> Column:
@@ -114,11 +120,14 @@ def _name_tokens(c: Column) -> Column:
 
 def same_participant(a: Column, b: Column) -> Column:
     """Equal, one's tokens within the other's, two or more shared at .66 of the smaller, or a common beginning."""
-    left, right = _name_tokens(a), _name_tokens(b)
-    shared, least = F.size(F.array_intersect(left, right)), F.least(F.size(left), F.size(right))
-    begins = F.exists(left, lambda x: F.exists(right, lambda y: (F.length(x) >= 3) & (F.length(y) >= 3) & (x.startswith(y) | y.startswith(x))))
-    share = (shared == least) | ((shared >= 2) & (shared / least >= 0.66))
-    return (a == b) | ((least > 0) & F.when(shared == 0, begins).otherwise(share))
+
+    def of(pair: Column) -> Column:
+        left, right = pair["l"], pair["r"]
+        shared, least = F.size(F.array_intersect(left, right)), F.least(F.size(left), F.size(right))
+        begins = F.exists(left, lambda x: F.exists(right, lambda y: (F.length(x) >= 3) & (F.length(y) >= 3) & (x.startswith(y) | y.startswith(x))))
+        return (least > 0) & F.when(shared == 0, begins).otherwise((shared == least) | ((shared >= 2) & (shared / least >= 0.66)))
+
+    return (a == b) | let(F.struct(_name_tokens(a).alias("l"), _name_tokens(b).alias("r")), of)
 
 
 def same_participants(a: Column, b: Column) -> Column:
@@ -153,8 +162,7 @@ def profiles(df: DataFrame, lexicon: lx.Lexicon) -> DataFrame:
     for name, table in (("stages", lx.STAGES), ("market_layers", lx.LAYERS), ("actions", lx.ACTIONS), ("directions", lx.DIRECTIONS), ("_scopes", lx.SCOPES)):
         out = out.withColumn(name, named(F.col("_plain"), table))
     sports = (F.col("_cat") == "sports") | F.col("_sub").rlike("baseball|basketball|football|hockey|soccer|tennis")
-    from_title = participants(F.col("title"))
-    sides = F.when(F.size(from_title) > 0, from_title).otherwise(participants(F.col("context_title")))
+    sides = let(participants(F.col("title")), lambda p: F.when(F.size(p) > 0, p).otherwise(participants(F.col("context_title"))))
     out = out.withColumn("participants", F.when(sports, sides).otherwise(F.array().cast("array<string>"))).withColumn("entities", entities(text, F.col("keywords"), lexicon))
     has = lambda c: F.size(c) > 0
     drop = F.array_compact(F.array(F.when(has("districts") | F.array_contains("_scopes", "seat"), F.lit("aggregate")), F.when(has("periods"), F.lit("annual_window"))))

@@ -19,6 +19,11 @@ def strings(values) -> Column:
     return F.array(*(F.lit(v) for v in values)) if values else F.array().cast("array<string>")
 
 
+def let(c: Column, fn) -> Column:
+    """fn of a value that is worked out once, however often fn reads it (a lambda variable is bound, not written out)."""
+    return F.element_at(F.transform(F.array(c), fn), 1)
+
+
 def safe_text(c: Column) -> Column:
     """P10: null to empty, else trimmed."""
     return F.trim(F.coalesce(c.cast("string"), F.lit("")))
@@ -70,17 +75,20 @@ def compact_key(c: Column) -> Column:
 
 def canonical_keyword(c: Column, lexicon: lx.Lexicon) -> Column:
     """The canonical phrase by exact spelling, then compact spelling, then itself."""
-    table, text = literal_map(lexicon.alias_map()), keyword_phrase(c)
-    return F.coalesce(F.element_at(table, text), F.element_at(table, F.regexp_replace(text, r"[^a-z0-9:%$+-]+", "")), text)
+    table = literal_map(lexicon.alias_map())
+    return let(keyword_phrase(c), lambda t: F.coalesce(F.element_at(table, t), F.element_at(table, F.regexp_replace(t, r"[^a-z0-9:%$+-]+", "")), t))
 
 
 def is_noise_keyword(c: Column, lexicon: lx.Lexicon) -> Column:
     """F6."""
-    text = canonical_keyword(c, lexicon)
-    squeezed = F.regexp_replace(text, r"[^a-z0-9:%$+-]+", "")
-    bare = F.regexp_replace(text, r"[^a-z0-9]", "")
     noise = lexicon.noise()
-    return (text == "") | text.isin(*noise) | squeezed.isin(*noise) | text.rlike("^[$€£¥]+$") | ((F.length(bare) < 3) & ~text.rlike("^[0-9]+$"))
+
+    def test(text: Column) -> Column:
+        bare = F.regexp_replace(text, r"[^a-z0-9]", "")
+        listed = text.isin(*noise) | F.regexp_replace(text, r"[^a-z0-9:%$+-]+", "").isin(*noise)
+        return (text == "") | listed | text.rlike("^[$€£¥]+$") | ((F.length(bare) < 3) & ~text.rlike("^[0-9]+$"))
+
+    return let(canonical_keyword(c, lexicon), test)
 
 
 def _quoted(word: str) -> str:
@@ -89,9 +97,10 @@ def _quoted(word: str) -> str:
 
 def mentions(c: Column, entries: dict[str, str]) -> Column:
     """Sorted distinct values of the phrases that stand in the text with no letter or digit beside them."""
-    text = F.concat(F.lit(" "), keyword_phrase(c), F.lit(" "))
-    hits = F.array(*(F.when(text.rlike(f"(?<![a-z0-9]){_quoted(k)}(?![a-z0-9])"), F.lit(v)) for k, v in entries.items())) if entries else F.array().cast("array<string>")
-    return F.array_sort(F.array_distinct(F.array_compact(hits)))
+    if not entries:
+        return F.array().cast("array<string>")
+    hits = lambda text: F.array(*(F.when(text.rlike(f"(?<![a-z0-9]){_quoted(k)}(?![a-z0-9])"), F.lit(v)) for k, v in entries.items()))
+    return F.array_sort(F.array_distinct(F.array_compact(let(F.concat(F.lit(" "), keyword_phrase(c), F.lit(" ")), hits))))
 
 
 def alias_mentions(c: Column, lexicon: lx.Lexicon) -> Column:
@@ -182,7 +191,7 @@ def has_term(c: Column, terms) -> Column:
 
 def named(c: Column, patterns: dict[str, str]) -> Column:
     """Sorted names of the patterns that the text matches, case ignored."""
-    return F.array_sort(F.array_compact(F.array(*(F.when(c.rlike("(?i)" + p), F.lit(n)) for n, p in patterns.items()))))
+    return F.array_sort(F.array_compact(let(c, lambda t: F.array(*(F.when(t.rlike("(?i)" + p), F.lit(n)) for n, p in patterns.items())))))
 
 
 def overlaps(a: Column, b: Column) -> Column:
