@@ -80,5 +80,25 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id"""
 
 
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w) x),
+repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+covered AS (SELECT DISTINCT doc_id, i + k AS place FROM windows JOIN repeated USING (s), range(0, 35) t(k)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS place FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept FROM words ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reach AS (SELECT vec_id AS node, vec_id AS reached FROM v UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.reached),
+parts AS (SELECT node, min(reached) AS component_id FROM reach GROUP BY node), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN parts ON node = vec_id LEFT JOIN counts ON a = vec_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": OP6_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op5_embedding_dedup": OP5_SQL, "op6_chat_format": OP6_SQL}
