@@ -16,9 +16,9 @@ col = F.col
 
 
 @query(r"""SELECT event_id, array_to_string(list_sort(list_distinct(list_concat(list_transform(regexp_extract_all(title, '\b(20[2-3][0-9])\b', 1), lambda v: 'year:' || v), list_transform(regexp_extract_all(title, '(?i)\b([a-z]{2}-(?:\d{1,2}|al))\b', 1), lambda v: 'district:' || upper(v)),
- list_transform(list_filter(regexp_extract_all(title, '(?i)\bgroup\s+([a-z0-9]+)\b', 1), lambda v: length(v) = 1 OR regexp_matches(v, '^[0-9]+$')), lambda v: 'group:' || upper(v))))), '|') AS structured FROM v_titles WHERE title NOT LIKE '%-%-%'""")
+ list_transform(list_filter(regexp_extract_all(title, '(?i)\bgroup\s+([a-z0-9]+)\b', 1), lambda v: length(v) = 1 OR regexp_matches(v, '^[0-9]+$')), lambda v: 'group:' || upper(v))))), '|') AS structured FROM v_titles""")
 def x13_structured_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "v_titles").where(~col("title").like("%-%-%")).select("event_id", F.array_join(F.array_sort(keywords.structured(col("title"))), "|").alias("structured"))
+    return view(spark, sf_dir, "v_titles").select("event_id", F.array_join(F.array_sort(keywords.structured(col("title"))), "|").alias("structured"))
 
 
 @query()

@@ -127,9 +127,9 @@ def p3_normalize_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base(spark, sf_dir, "nation").select("n_nationkey", markets.normalize_category(raw, {"nba": "Sports"}).alias("category"))
 
 
-@query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS title FROM part WHERE regexp_matches(p_name, '^[A-Za-z ]+$')")
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS title FROM part")
 def p3_title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return base(spark, sf_dir, "part").where(col("p_name").rlike("^[A-Za-z ]+$")).select("p_partkey", title_case(col("p_name")).alias("title"))
+    return base(spark, sf_dir, "part").select("p_partkey", title_case(col("p_name")).alias("title"))
 
 
 @query("""WITH m AS (SELECT c_custkey AS id, c_name AS question, CASE WHEN c_custkey % 3 = 0 THEN [] WHEN c_custkey % 3 = 1 THEN ['Yes', 'No'] ELSE ['Alpha'] END AS outs FROM customer),

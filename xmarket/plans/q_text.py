@@ -98,13 +98,13 @@ def x16_title_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "v_titles").select("event_id", *_join(tokens=text.title_tokens(F.col("title"))))
 
 
-@query(f"""WITH t AS (SELECT event_id, sub_category, platform, {TOKENS} AS tokens FROM v_titles), k AS (SELECT * FROM t WHERE platform = 'K' AND event_id % 20 = 0), p AS (SELECT * FROM t WHERE platform = 'P'),
+@query(f"""WITH t AS (SELECT event_id, sub_category, platform, {TOKENS} AS tokens FROM v_titles), k AS (SELECT * FROM t WHERE platform = 'K'), p AS (SELECT * FROM t WHERE platform = 'P'),
 j AS (SELECT k.event_id AS k_id, p.event_id AS p_id, len(list_intersect(k.tokens, p.tokens)) AS s, len(k.tokens) AS a, len(p.tokens) AS b FROM k JOIN p ON k.event_id + 1 = p.event_id)
 SELECT k_id, p_id, round(CASE WHEN least(a, b) > 0 THEN s / least(a, b) ELSE 0 END, 6) AS ov, round(CASE WHEN least(a, b) > 0 THEN s / (a + b - s) ELSE 0 END, 6) AS jac FROM j""")
 def x16_title_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring K and P titles."""
     t = view(spark, sf_dir, "v_titles").select("event_id", "platform", text.title_tokens(F.col("title")).alias("tokens"))
-    k = t.where("platform = 'K' and event_id % 20 = 0").select(F.col("event_id").alias("k_id"), F.col("tokens").alias("kt"))
+    k = t.where("platform = 'K'").select(F.col("event_id").alias("k_id"), F.col("tokens").alias("kt"))
     p = t.where("platform = 'P'").select(F.col("event_id").alias("p_id"), F.col("tokens").alias("pt"))
     j = k.join(p, F.col("k_id") + 1 == F.col("p_id"))
     return j.select("k_id", "p_id", F.round(text.overlap(F.col("kt"), F.col("pt")), 6).alias("ov"), F.round(text.jaccard(F.col("kt"), F.col("pt")), 6).alias("jac"))
