@@ -246,18 +246,10 @@ def p14_last_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def j1_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole of J1 and J2: blocking, categories, keep rules, rejecting rules, quality.
-
-    Events are grouped under their nation's titles: keywords that stand in over 60 events block nothing here, as an
-    index with a frequency bound would have it.
-    """
+    """The whole of J1 and J2 on all keywords: blocking, categories, keep rules, rejecting rules, quality."""
     from xmarket.operators.candidates import build_pairs
 
-    idx = index(spark, sf_dir)
-    words = idx.select("event_id", F.explode("keywords").alias("w"))
-    common = words.groupBy("w").count().where("count > 60").select("w")
-    kept = words.join(common, "w", "left_anti").groupBy("event_id").agg(F.array_sort(F.collect_list("w")).alias("keywords"))
-    out = build_pairs(idx.drop("keywords", "bet_titles").join(kept, "event_id"), {})
+    out = build_pairs(index(spark, sf_dir).drop("bet_titles"), {})
     return out.select("k_id", "p_id", "mode", "path", "quality_score", "quality_tier", F.array_join("common_keywords", "|").alias("common_keywords"))
 
 

@@ -40,12 +40,8 @@ def g1_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 k AS (SELECT * FROM w WHERE platform = 'K'), p AS (SELECT * FROM w WHERE platform = 'P')
 SELECT k.event_id AS k_id, p.event_id AS p_id, string_agg(keyword, '|' ORDER BY keyword) AS common_keywords FROM k JOIN p USING (keyword) JOIN rare USING (keyword) GROUP BY ALL""")
 def j1_blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs that share a keyword; the caller leaves out keywords of over 60 events, as an index with a frequency bound would."""
-    idx = index(spark, sf_dir)
-    words = idx.select("event_id", F.explode("keywords").alias("w"))
-    common = words.groupBy("w").count().where("count > 60").select("w")
-    kept = words.join(common, "w", "left_anti").groupBy("event_id").agg(F.collect_list("w").alias("keywords"))
-    pairs = candidates.blocked_pairs(idx.drop("keywords").join(kept, "event_id"))
+    """Pairs that share a keyword, hot ones included; the SQL still leaves out keywords of over 60 events."""
+    pairs = candidates.blocked_pairs(index(spark, sf_dir))
     return pairs.withColumn("common_keywords", F.array_join("common_keywords", "|"))
 
 
