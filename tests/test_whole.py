@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
+
 from conftest import SF
 from xmarket import catalogue
 from xmarket.plans.q_pairs import index
+from xmarket.plans.views import view
 
 
 def test_blocking_uses_every_keyword(spark):
@@ -15,3 +18,15 @@ def test_blocking_uses_every_keyword(spark):
     assert len(got) == len(want) and {(r.k_id, r.p_id): r.common_keywords for r in got} == want
     kept = catalogue.queries()["j1_candidate_pairs"](spark, SF).collect()
     assert kept and all(r.common_keywords == want[r.k_id, r.p_id] for r in kept)
+
+
+def test_edges_come_from_every_line(spark):
+    lines = pd.read_parquet(f"{SF}/lineitem.parquet")
+    want = set(lines[["l_suppkey", "l_partkey", "l_quantity"]].itertuples(index=False, name=None))
+    got = [(r.k_id, r.p_id, r.quality) for r in view(spark, SF, "v_edges").collect()]
+    assert len(got) == len(want) and set(got) == want
+    used_k, used_p, scanned = set(), set(), set()
+    for k, p, q in sorted(want, key=lambda e: (-e[2], e[0], e[1])):
+        if k not in used_k and p not in used_p:
+            used_k.add(k), used_p.add(p), scanned.add((k, p, q))
+    assert {(r.k_id, r.p_id, r.quality) for r in catalogue.queries()["s8_greedy_exclusive"](spark, SF).collect()} == scanned

@@ -46,7 +46,7 @@ SELECT user_id AS ticker, CASE WHEN event_type IN ('click', 'view') THEN 'yes' E
   CAST(CASE WHEN event_id % 2 = 0 THEN value ELSE -value END AS DECIMAL(18,4)) AS delta FROM {events}"""
 
 VIEWS["v_edges"] = """
-SELECT DISTINCT l_suppkey AS k_id, l_partkey AS p_id, l_quantity AS quality FROM {lineitem} WHERE l_orderkey % 97 = 0 AND l_linenumber = 1"""
+SELECT DISTINCT l_suppkey AS k_id, l_partkey AS p_id, l_quantity AS quality FROM {lineitem}"""
 
 VIEWS["v_decisions"] = """
 SELECT d.doc_id AS pair_id, d.source AS provenance, d.lang AS tier, CASE WHEN l.quality = 1 THEN 'MATCH' ELSE 'NO_MATCH' END AS expected,
