@@ -42,7 +42,7 @@ SEED = 42
 _SLICE = 1 << 16
 _DENSE = 1 << 11  # buckets above this size look neighbours up by bits
 _BANDS, _ROWS = 20, 5  # a pair of similarity s agrees in a band with 1 - (1 - s^5)^20: 0.9996 at 0.8
-_HEADS = 1
+_HEADS = 2
 _PART = 1 << 10
 _TIMES = np.random.default_rng(SEED).integers(0, 1 << 63, _BANDS * _ROWS, np.uint64) | np.uint64(1)
 _XOR = np.random.default_rng(SEED + 1).integers(0, 1 << 63, _BANDS * _ROWS, np.uint64)
@@ -261,7 +261,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     members = written(_apart(met.withColumn("component", F.col("key"))), "members")
     whole = written(keyed.select("key", "text").join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "sources")
     true, parts = [], None
-    for turn in range(_HEADS):
+    for turn in range(_HEADS + 1):
         if members.limit(1).count() == 0:
             break
         other = members.select("bucket", F.col("key").alias("b"), F.col("component").alias("of_b"))
