@@ -30,3 +30,10 @@ def test_edges_come_from_every_line(spark):
         if k not in used_k and p not in used_p:
             used_k.add(k), used_p.add(p), scanned.add((k, p, q))
     assert {(r.k_id, r.p_id, r.quality) for r in catalogue.queries()["s8_greedy_exclusive"](spark, SF).collect()} == scanned
+
+
+def test_matches_come_from_every_line(spark):
+    lines = pd.read_parquet(f"{SF}/lineitem.parquet")
+    want = set(lines[["l_orderkey", "l_partkey", "l_suppkey"]].itertuples(index=False, name=None))
+    got = [(r.k_id, r.p_id, r.quality) for r in view(spark, SF, "v_matches").collect()]
+    assert len(got) == len(want) and set(got) == want

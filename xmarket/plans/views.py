@@ -66,7 +66,7 @@ VIEWS["v_outcomes"] = """
 SELECT p_partkey AS bet_id, CASE WHEN p_partkey % 2 = 0 THEN 'K' ELSE 'P' END AS venue, p_brand AS event_id, p_name AS title,
   lower(p_type) AS outcome_key, p_size AS size_no, p_retailprice AS price FROM {part}"""
 
-VIEWS["v_matches"] = "SELECT DISTINCT l_orderkey AS k_id, l_partkey AS p_id, l_suppkey AS quality FROM {lineitem} WHERE l_linenumber <= 2"
+VIEWS["v_matches"] = "SELECT DISTINCT l_orderkey AS k_id, l_partkey AS p_id, l_suppkey AS quality FROM {lineitem}"
 
 
 def frames(spark: SparkSession, sf_dir: str, sql: str) -> dict[str, DataFrame]:
