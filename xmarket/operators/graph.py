@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from xmarket.session import written
+from xmarket.session import discard, written
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     current = written(named.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(max_rounds):
-        current = written(_small_star(_large_star(current)), "edges")
+        last, current = current, written(_small_star(_large_star(current)), "edges")
+        discard(last)
         row = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         now = (row["n"], row["h"])
         if now == before:
