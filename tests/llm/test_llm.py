@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF
-from xmarket.llm import bpe, chat_format, embedding_dedup, language_id, packing, quality, queries, secret_scan, sharding, simhash, substring_dedup
+from xmarket.llm import bpe, chat_format, embedding_dedup, language_id, near_copies, packing, quality, queries, secret_scan, sharding, simhash, substring_dedup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words int, fp int, shard int"
 WEIRD = [None, "", " \t\n\v\f\r ", "a", "É ß ǅ  x\x1cy", "x" * 5000, "w " * 3000, "<|endoftext|> </s>[INST] \\ AKIA", "same words here", "same words here"]
@@ -195,9 +195,9 @@ def test_near_copies_keep_one_of_each_group(spark):
     copy[20] = copy[150] = "changed"
     other = [f"v{rng.randint(0, 5000)}" for _ in range(200)]
     d = docs(spark, [" ".join(words), " ".join(copy), " ".join(other), " ".join(words), "short text", "short text.", None, ""], 10)
-    kept = {r.doc_id for r in simhash.keep_first(d).collect()}
+    kept = {r.doc_id for r in near_copies.keep_first(d).collect()}
     assert kept == {10, 12, 14, 15, 16}
-    assert simhash.shingle_similarity(" ".join(words), " ".join(copy)) > 0.8
+    assert near_copies.similarity_of(near_copies.shingle_set(" ".join(words)), near_copies.shingle_set(" ".join(copy))) > 0.8
 
 
 # --- 4: language ID ---

@@ -7,14 +7,23 @@ from itertools import combinations
 
 import numpy as np
 
-from xmarket.llm import simhash
+from xmarket.llm import near_copies
 
 DOCS = "doc_id long, text string"
 
 
+def shingles_of(text, size=5):
+    words = text.lower().split()
+    return set(zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else ({tuple(words)} if words else set())
+
+
+def similarity(a, b):
+    x, y = shingles_of(a), shingles_of(b)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
 def groups(texts):
     """doc_id -> smallest doc_id of its component, by comparing all pairs."""
-    shingles = [simhash._shingles(t, 5) for t in texts]
     root = list(range(len(texts)))
 
     def find(x):
@@ -23,7 +32,7 @@ def groups(texts):
         return x
 
     for a, b in combinations(range(len(texts)), 2):
-        if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
+        if similarity(texts[a], texts[b]) >= 0.8:
             a2, b2 = sorted((find(a), find(b)))
             root[b2] = a2
     return {x: find(x) for x in range(len(texts))}
@@ -31,7 +40,7 @@ def groups(texts):
 
 def found(spark, texts):
     d = spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(4)
-    return {r.doc_id: r.component_id for r in simhash.near_copies(d).collect()}
+    return {r.doc_id: r.component_id for r in near_copies.near_copies(d).collect()}
 
 
 def test_recall_over_the_similarities(spark):
@@ -42,7 +51,7 @@ def test_recall_over_the_similarities(spark):
         copy = list(words)
         for at in rng.sample(range(len(words)), rng.randint(1, max(1, len(words) // 40))):
             copy[at] = f"w{rng.randint(0, 3000)}"
-        s = simhash.shingle_similarity(" ".join(words), " ".join(copy))
+        s = similarity(" ".join(words), " ".join(copy))
         if 0.8 <= s < 1:
             texts += [" ".join(words), " ".join(copy)]
             bands.append(int((s - 0.8) / 0.05))
@@ -66,7 +75,42 @@ def test_failed_heads_do_not_cut_off_others(spark, monkeypatch):
                 copy[at] = f"n{rng.randint(0, 10**6)}"
             texts.append(" ".join(copy))
     one = np.zeros(20, np.uint64)
-    monkeypatch.setattr(simhash, "bands", lambda *_: one)
+    monkeypatch.setattr(near_copies, "bands", lambda *_: one)
     want = groups(texts)
     assert len(set(want.values())) < len(texts)
     assert found(spark, texts) == want
+
+
+def test_texts_of_the_same_words_in_other_orders(spark):
+    """Shuffled texts share all words, so fingerprints of words would link them; only true pairs may be joined, and all of them."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(20):
+        words = [f"w{rng.randint(0, 400)}" for _ in range(200)]
+        for _ in range(6):
+            rng.shuffle(words)
+            texts.append(" ".join(words))
+        copy = list(words)
+        copy[0] = "changed"
+        texts += [" ".join(copy), " ".join(copy[:100] + ["added"] + copy[100:])]
+    want = groups(texts)
+    assert len(set(want.values())) == 20 * 6
+    assert found(spark, texts) == want
+
+
+def test_one_row_of_each_group_stays(spark):
+    long = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, "alpha beta gamma", 1), (1, "completely different text here", 2), (2, long, 3), (3, long + " end", 4), (2, long, 5), (None, long, 6), (None, "only here without id", 7), (None, "only here without id", 8), (4, None, 9), (5, "", 10)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, key long").repartition(3)
+    kept = near_copies.keep_first(d)
+    assert kept.columns == d.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, "alpha beta gamma"), (1, "completely different text here"), (2, long), (None, "only here without id"), (4, None)], key=str)
+    assert near_copies.keep_first(d.limit(0)).count() == 0
+
+
+def test_a_head_with_many_partners_is_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "COMPARISONS", 7)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(150)]
+    assert set(found(spark, texts).values()) == {0}

@@ -12,9 +12,6 @@ Bounds: only distinct fingerprints are emitted, 196 rows each for 4 blocks and 6
 members lie within one bit of one masked value, so it holds at most 49 * 2^16 fingerprints whatever the input, and
 a search in it looks neighbours up by their bits instead of comparing all pairs.
 
-near_copies() serves corpora: candidates are texts that agree in a band of MinHash values of their word shingles,
-and a candidate stays if the shingles have a Jaccard similarity of at least 0.8.
-
 Defined results: a null or wordless text has fingerprint zero and links like any other; fewer words than
 a shingle give one shingle; rows with a null id take part, and a component of null ids alone has a null
 component id; repeated rows share their fingerprint; extra columns are ignored; an empty table gives an
@@ -24,7 +21,7 @@ empty result.  Whole texts are read, in slices of bounded memory.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -41,11 +38,6 @@ from xmarket.llm.words import map_arrow
 SEED = 42
 _SLICE = 1 << 16
 _DENSE = 1 << 11  # buckets above this size look neighbours up by bits
-_BANDS, _ROWS = 20, 5  # a pair of similarity s agrees in a band with 1 - (1 - s^5)^20: 0.9996 at 0.8
-_HEADS = 2
-_PART = 1 << 10
-_TIMES = np.random.default_rng(SEED).integers(0, 1 << 63, _BANDS * _ROWS, np.uint64) | np.uint64(1)
-_XOR = np.random.default_rng(SEED + 1).integers(0, 1 << 63, _BANDS * _ROWS, np.uint64)
 
 
 @dataclass(frozen=True)
@@ -67,41 +59,37 @@ class Ball:
 BALL = Ball()
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = SEED) -> int:
-    """SimHash of the XXH64 values of word shingles, ASCII upper case lowered; unsigned 64 bits."""
+def shingle_hashes(text: str | None, shingle: int = 3, seed: int = SEED) -> Iterator[np.ndarray]:
+    """The XXH64 values of a text's word shingles, ASCII upper case lowered, in slices of bounded memory; no words, no slices."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
-        return 0
-    joined = b" ".join(words)
+        return
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return _majority(np.zeros(64, np.int64), [joined], seed, 1)
+        yield np.array([digest(joined, seed)], np.uint64)
+        return
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    n, counts = len(words) - shingle + 1, np.zeros(64, np.int64)
-    spans = zip(starts[:n].tolist(), ends[shingle - 1 :].tolist(), strict=True)
-    if n <= _SLICE:
-        return _majority(counts, [joined[a:b] for a, b in spans], seed, n)
-    part: list[bytes] = []
-    for a, b in spans:
-        part.append(joined[a:b])
-        if len(part) == _SLICE:
-            counts += _bits(part, seed)
-            part = []
-    return _majority(counts, part, seed, n)
-
-
-def _bits(shingles: list[bytes], seed: int) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(s, seed) for s in shingles), np.uint64, len(shingles))
-    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-
-
-def _majority(counts: np.ndarray, shingles: list[bytes], seed: int, n: int) -> int:
-    if shingles:
-        counts = counts + _bits(shingles, seed)
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - shingle + 1]
+    ends = ends[shingle - 1 :]
+    for at in range(0, len(starts), _SLICE):
+        spans = zip(starts[at : at + _SLICE].tolist(), ends[at : at + _SLICE].tolist(), strict=True)
+        yield np.array([digest(joined[a:b], seed) for a, b in spans], np.uint64)
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits set in over half of the hashes; zero if there are none."""
+    counts, n = np.zeros(64, np.int64), 0
+    for h in parts:
+        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(h)
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str | None, shingle: int = 3, seed: int = SEED) -> int:
+    """SimHash of the XXH64 values of word shingles, ASCII upper case lowered; unsigned 64 bits."""
+    return majority(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: Callable[[str | None], int] = fingerprint) -> DataFrame:
     """(id, fp long) of every row; fp holds the unsigned fingerprint's bits."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -234,110 +222,3 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ba
     mins = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = labelled.join(mins, "component").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def shingle_similarity(a: str | None, b: str | None, shingle: int = 5) -> float:
-    """Jaccard similarity of the sets of word shingles, ASCII upper case lowered; texts without words are alike."""
-    x, y = _shingles(a, shingle), _shingles(b, shingle)
-    return len(x & y) / len(x | y) if x or y else 1.0
-
-
-def _shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    return set(zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else ({tuple(words)} if words else set())
-
-
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component_id) of every row: components of the texts whose word shingles are similar.
-
-    Nodes are distinct texts (by a 64-bit hash); those that agree in a band of their minima meet in a bucket.  A
-    bucket's smallest text is compared with the others, twice; then all pairs of a bucket that verified links have
-    not joined are compared, so every pair of a bucket ends up verified or in one component.
-    """
-    keyed = df.select(F.col(id_col), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("key"))
-    rows = written(_with_bands(keyed, id_col, shingle), "words")
-    texts = written(rows.groupBy("key").agg(F.min(id_col).alias("least")), "texts")
-    met = written(rows.select("key", F.explode("bands").alias("bucket")).distinct(), "bands")
-    members = written(_apart(met.withColumn("component", F.col("key"))), "members")
-    whole = written(keyed.select("key", "text").join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "sources")
-    true, parts = [], None
-    for turn in range(_HEADS + 1):
-        if members.limit(1).count() == 0:
-            break
-        other = members.select("bucket", F.col("key").alias("b"), F.col("component").alias("of_b"))
-        if turn < _HEADS:
-            heads = members.groupBy("bucket").agg(F.min(F.struct("key", "component")).alias("h"))
-            met = other.join(heads.select("bucket", F.col("h.key").alias("a"), F.col("h.component").alias("of_a")), "bucket")
-        else:
-            met = other.join(members.select("bucket", F.col("key").alias("a"), F.col("component").alias("of_a")), "bucket")
-        edges = written(met.where("a < b and of_a <> of_b").select("a", "b").distinct(), "candidates")
-        true.append(written(_verified(edges, whole, shingle, similarity), "verified"))
-        parts = connected_components(_union(true), "a", "b")
-        if turn < _HEADS:
-            left = members.join(heads.select("bucket", F.col("h.key").alias("head")), "bucket").where("key <> head").select("bucket", "key")
-            named = left.join(parts, F.col("key") == F.col("node"), "left").select("bucket", "key", F.coalesce("component", "key").alias("component"))
-            members = written(_apart(named), "members")
-    labelled = texts.withColumn("component", F.col("key"))
-    if parts is not None:
-        labelled = texts.join(parts, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("component", "key").alias("component"))
-    mins = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    return rows.join(labelled.join(mins, "component").select("key", "component_id"), "key").select(id_col, "component_id")
-
-
-def _apart(members: DataFrame) -> DataFrame:
-    """The rows (bucket, key, component) of buckets that hold more than one component."""
-    mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    return members.join(mixed, "bucket", "left_semi").select("bucket", "key", "component")
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _verified(edges: DataFrame, whole: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The edges (a, b) whose texts are similar."""
-    pairs = edges.join(whole.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(whole.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
-
-    def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
-        near = [shingle_similarity(x, y, shingle) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        return batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
-
-    return map_arrow(pairs.select("a", "b", "x", "y"), verify, "a long, b long")
-
-
-def bands(text: str | None, shingle: int = 5, seed: int = SEED) -> np.ndarray:
-    """One number a band: the XXH64 value of the band's minima over the text's word shingles; equal shingle sets have equal bands."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    least = np.full(_BANDS * _ROWS, np.iinfo(np.uint64).max, np.uint64)
-    n = max(1, len(words) - shingle + 1) if words else 0
-    for start in range(0, n, _PART):
-        h = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), seed) for i in range(start, min(n, start + _PART))), np.uint64)
-        mixed = (h[:, None] ^ _XOR) * _TIMES
-        least = np.minimum(least, (mixed ^ mixed >> np.uint64(32)).min(axis=0))
-    return np.array([xxhash.xxh64_intdigest(part.tobytes(), k) for k, part in enumerate(least.reshape(_BANDS, _ROWS))], np.uint64)
-
-
-def _with_bands(keyed: DataFrame, id_col: str, shingle: int) -> DataFrame:
-    kind = keyed.schema[id_col].dataType.simpleString()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).to_pylist()
-        flat = np.concatenate([bands(t, shingle) for t in texts]) if texts else np.zeros(0, np.uint64)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * _BANDS, pa.int32()), pa.array(flat.view(np.int64)))
-        return pa.record_batch([batch.column(0), batch.column(2), lists], names=[id_col, "key", "bands"])
-
-    return map_arrow(keyed.select(id_col, "text", "key"), run, f"`{id_col}` {kind}, key long, bands array<long>")
-
-
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of df, unchanged, that have the smallest id of their group of near copies; of rows that share an id, one.
-
-    Rows whose id is null can't be told apart by it and stay.
-    """
-    marked = near_copies(df.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, similarity)
-    roots = marked.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__root")).distinct()
-    kept = df.join(roots, F.col(id_col) == F.col("__root"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(df.where(F.col(id_col).isNull()))

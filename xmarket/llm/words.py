@@ -22,13 +22,24 @@ def hexdigest(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about `size` bytes, so that long texts don't become Python objects all at once."""
+    step = max(1, min(batch.num_rows, batch.num_rows * size // max(1, batch.nbytes)))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply fn to each Arrow batch of df.  Rows stay in their partition; nothing is shuffled."""
+    """Apply fn to slices of the Arrow batches of df.  Rows stay in their partition; nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = fn(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for part in slices(batch):
+                out = fn(part)
+                if out is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
