@@ -11,9 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from xmarket.llm import language_id, packing, secret_scan, simhash, substring_dedup
+from xmarket.llm import language_id, near_copies, packing, secret_scan, substring_dedup
 from xmarket.llm.words import table
-from xmarket.session import written
+from xmarket.session import discard, kept
 
 #: Below this posterior a text has no language; clean prose is far above.
 MIN_LANGUAGE_SCORE = 0.5
@@ -27,7 +27,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near copies (shingles of five words)."""
-    return simhash.keep_first(docs, shingle=5)
+    return near_copies.keep_first(docs, shingle=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +54,16 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Fingerprints, tokens and models can't be said in SQL; tests compare run() with brute force.
+#: Fingerprints, tokens and models can't be said in SQL; tests compare run() with brute force of each stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = kept(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
