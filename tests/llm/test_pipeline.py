@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
+from xmarket.session import written
 from conftest import SF
 from test_llm import DOCS, WEIRD, docs  # noqa: F401
 
@@ -13,7 +14,7 @@ from test_llm import DOCS, WEIRD, docs  # noqa: F401
 def through(spark, d, sf_dir=SF):
     out = []
     for name, stage in corpus_pipeline.STAGES:
-        d = corpus_pipeline.written(stage(spark, d, sf_dir), name)
+        d = written(stage(spark, d, sf_dir), name)
         out.append(d)
     return out
 
