@@ -217,6 +217,7 @@ def test_op4_never_reads_labels_of_the_held_out_fold(spark):
     swapped = d.withColumn("lang", F.when(fold, F.lit("xx")).otherwise(F.col("lang"))).withColumn("source", F.lit(None).cast("string"))
     a, b = language_id.fit(d.where(~fold)), language_id.fit(swapped.where(~fold))
     assert a.words == b.words and a.grams == b.grams and "xx" not in b.languages
+    assert (a.word_table == b.word_table).all() and (a.gram_table == b.gram_table).all()
 
 
 def test_op4_edges(spark, weird):
@@ -226,10 +227,53 @@ def test_op4_edges(spark, weird):
     nothing = language_id.fit(weird.limit(0))
     assert {r.lang_pred for r in language_id.predict(weird, nothing).collect()} == {"und"}
     assert language_id.keep_known(weird, model).columns == weird.columns
-    small = language_id.Model(["a", "b"], {"hi": (-1.0, -3.0)}, {"^h": (-5.0, -1.0), "o": (-2.0, -2.5)}, (-9.0, -9.0))
+    small = language_id.Model(["a", "b"], ["hi"], [(-1.0, -3.0)], ["^h", "o"], [(-5.0, -1.0), (-2.0, -2.5)], (-9.0, -9.0))
     assert small.word_scores("hi") == (-1.0, -3.0) and small.word_scores("ho") == (-5.0, -1.0) and small.word_scores("oo") == (-2.0, -2.5) and small.word_scores("z") == (-9.0, -9.0)
 
 
+def test_op4_letters_are_unicode_letters():
+    model = language_id.Model(["a", "b"], ["hi"], [(-1.0, -3.0)], ["^h"], [(-5.0, -1.0)], (-9.0, -9.0))
+    for letterless in (None, "", "42 _ \u00b2\u00bd\u2163 \u0661 !", "\u2463"):
+        assert model.predict(letterless) == ("und", 0.0)
+    assert language_id.letter_words("Hi\u00b2ho \u00bd x\u2163y \u00c9t\u00e9_9z") == ["hi", "ho", "x", "y", "\u00e9t\u00e9", "z"]
+
+
+def test_op4_equals_a_plain_word_by_word_sum():
+    rng = random.Random(3)
+    words, grams = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100)], ["^w", "w", "a", "b$", "zz", "q"]
+    words = sorted({w.replace("w", "v") for w in words})
+    table = [(rng.uniform(-9, -1), rng.uniform(-9, -1), rng.uniform(-9, -1)) for _ in words]
+    gram_table = [(rng.uniform(-9, -1), rng.uniform(-9, -1), rng.uniform(-9, -1)) for _ in grams]
+    floor = (-9.0, -9.5, -9.2)
+    model = language_id.Model(["a", "b", "c"], words, table, grams, gram_table, floor)
+
+    def row(word):
+        if word in words:
+            return table[words.index(word)]
+        for order in range(5, 0, -1):
+            parts = [f"^{word}$"[i : i + order] for i in range(len(word) + 3 - order)]
+            hits = [gram_table[grams.index(p)] for p in parts if p in grams]
+            if hits:
+                return tuple(sum(c) / len(hits) for c in zip(*hits, strict=True))
+        return floor
+
+    texts = [" ".join(rng.choice(words) if rng.random() < 0.6 else "".join(rng.choices("abwzqx", k=rng.randint(1, 6))) for _ in range(rng.randint(0, 12))) for _ in range(200)]
+    labels, scores = model.predict_all(texts)
+    for text, label, score in zip(texts, labels, scores, strict=True):
+        if not text:
+            assert (label, score) == ("und", 0.0)
+            continue
+        sums = [sum(x) for x in zip(*map(row, text.split()), strict=True)]
+        assert sums[["a", "b", "c"].index(label)] == pytest.approx(max(sums))
+        assert score == pytest.approx(1 / sum(np.exp(x - max(sums)) for x in sums))
+
+
+def test_op4_sample_keeps_rare_languages(spark):
+    rows = [(i, f"common words number {i % 7}", "aa") for i in range(3000)] + [(3000 + i, "seldom tongue spoken here", "zz") for i in range(5)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_train_rows=100)
+    assert model.languages == ["aa", "zz"] and model.predict("seldom spoken")[0] == "zz"
+
+
 # --- 5: embeddings ---
 
 
