@@ -482,6 +482,57 @@ def test_op9_neighbours_fill_a_window():
     assert packing._powers([(0, 0, 100, 0, 0)], 0, 100) == [(0, 0, 64, 0, 0), (0, 64, 32, 1, 0), (0, 96, 4, 2, 0)]
 
 
+def test_op9_windows_equal_brute_force_bm25():
+    """Each window's documents against plain scores of all unused documents for all terms of the seed."""
+    rng = np.random.default_rng(1)
+    docs_ = [(rng.zipf(1.3, rng.integers(5, 900)) % 500).astype("<u2") for _ in range(150)]
+    sets = [Counter(d.tolist()) for d in docs_]
+    df = np.array([sum(t in c for c in sets) for t in range(500)], np.float64)
+    idf, average = np.log1p((len(docs_) - df + 0.5) / (df + 0.5)), float(np.mean([len(d) for d in docs_]))
+
+    def score(seed, doc):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(docs_[doc]) / average)
+        return sum(idf[t] * sets[doc][t] * (packing.K1 + 1) / (sets[doc][t] + norm) for t in sets[seed] if t in sets[doc])
+
+    pieces = packing.pack_shard(docs_, idf, average)
+    order = [(d, s) for d, s, _, q, o in sorted(pieces, key=lambda p: (p[3], p[4]))]
+    unused, expect, filled, seed, rest, queue = set(range(150)), [], 0, None, None, []
+    while unused or rest:
+        if rest is not None:
+            seed, start = rest
+        elif filled == 0 or not queue:
+            seed, start = min(unused), 0
+        else:
+            seed, start = None, 0
+        doc = seed if seed is not None else queue.pop(0)
+        unused.discard(doc)
+        take = min(2048 - filled, len(docs_[doc]) - start)
+        expect.append((doc, start))
+        filled = (filled + take) % 2048
+        rest = (doc, start + take) if start + take < len(docs_[doc]) else None
+        if seed is not None and rest is None and filled:
+            queue = sorted((x for x in unused if score(seed, x) > 0), key=lambda x: (-round(score(seed, x), 9), x))
+        if filled == 0:
+            queue = []
+    last = max(q for *_, q, _ in pieces)
+    full = [x for x in order if x in expect]
+    assert len(pieces) > 150 and full[:-3] == expect[: len(full) - 3] and last >= 20
+
+
+def test_op9_equal_rows_spread_over_tasks(spark, monkeypatch):
+    """Rows alike in id and text go to as many ranges and shards as their tokens need."""
+    monkeypatch.setattr(packing, "TASK_SHARDS", 2)
+    d = spark.createDataFrame([(None, "the same words again and again")] * 600, "doc_id long, text string").repartition(3)
+    packed = packing.pack(d, public_tokenizers.path("word_bpe_49k.json"), shard_tokens=300)
+    rows = packed.withColumn("task", F.spark_partition_id()).collect()
+    assert sum(r.length for r in rows) == 600 * rows[0].doc_tokens and len({r.task for r in rows}) >= 4
+    assert Counter(r.task for r in rows).most_common(1)[0][1] < 400
+    used = defaultdict(int)
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert all(n <= 2048 and n & (n - 1) == 0 for n in used.values())
+
+
 def test_op9_edges(spark, weird):
     got = packing.pack(weird, public_tokenizers.path("word_bpe_49k.json")).collect()
     assert sum(r.length for r in got if r.doc_id == 0) == 1 and {r.doc_id for r in got} == {r.doc_id for r in weird.collect()}
