@@ -415,6 +415,51 @@ def test_op8_follows_assignments():
     assert secret_scan.redact_text('x password=abcdefgh12 y') == "x [secret] y"
 
 
+def test_op8_named_equals_brute_force():
+    """Random programs of constants and concatenations, worked out by plain substitution."""
+    rng = random.Random(9)
+    names = ["K", "base", "part_two", "clientSecret", "db.signing_key", "auth_token", "password_hint", "x" * 400 + "_secret", "userName"]
+    for _ in range(300):
+        lines, at, held, want = [], 0, {}, set()
+        for _ in range(rng.randint(1, 14)):
+            name, line, spans, value = rng.choice(names), "", [], ""
+            line = name + rng.choice([" = ", "=", " := ", ": "])
+            for k in range(rng.randint(1, 3)):
+                line += " + " if k else ""
+                known = rng.choice(names)
+                if rng.random() < 0.5 and known in held:
+                    line += known
+                    spans, value = spans + held[known][0], value + held[known][1]
+                else:
+                    text = "".join(rng.choices("abZY09!", k=rng.randint(1, 9)))
+                    spans, value = [*spans, (at + len(line) + 1, at + len(line) + 1 + len(text))], value + text
+                    line += f'"{text}"'
+            if len(value) > 4000:
+                continue
+            held[name] = (spans, value)
+            held.setdefault(name.rsplit(".", 1)[-1], held[name])
+            if secret_scan.name_score(name) >= 1.5 and secret_scan.name_score(name) + secret_scan.literal_score(value) >= secret_scan.THRESHOLD:
+                want |= set(spans)
+            lines.append(line)
+            at += len(line) + 1
+        text = "\n".join(lines)
+        assert {(s, e) for s, e, _ in secret_scan.lexed(text)} == want, text
+
+
+def test_op8_lexer_reads_syntax_and_ends():
+    found = lambda text: [text[s:e] for s, e, _ in sorted(secret_scan.lexed(text))]
+    assert found('cfg["clientSecret"] = "Zx9!kLm2#Qw8"') == ["Zx9!kLm2#Qw8"]
+    assert found('secret_key: str = "Zx9!kLm2#Qw8"') == ["Zx9!kLm2#Qw8"]
+    assert found('signing_key = spare = "Zx9!kLm2#Qw8"') == ["Zx9!kLm2#Qw8"]
+    assert found("it's 'auth_token': 'Zx9!kLm2#Qw8', don't") == ["Zx9!kLm2#Qw8"]
+    assert found("""note = "auth_token='Zx9!kLm2#Qw8'" """) == ["Zx9!kLm2#Qw8"]
+    assert found("pass_secret_key" + 200 * "z" + ' = "hT5kQ9zLp2Vx8"') == ["hT5kQ9zLp2Vx8"]
+    assert found("z" * 500 + '_pass_secret_key = "hT5kQ9zLp2Vx8"') == ["hT5kQ9zLp2Vx8"]
+    assert found('x = "Zx9!kLm2"\n' + 60 * "x = x + x\n" + "client_secret = x") == ["Zx9!kLm2"]
+    for long in ("a=" * 100_000, 'a="' * 60_000, '\\"' * 60_000 + "=", "x: 'k' + " * 30_000, "x = x + x\n" * 20_000, "".join(f'k{i} = k{i - 1} + "a1{i}"\n' for i in range(20_000)) + "secret = k19999"):
+        secret_scan.lexed(long)
+
+
 def test_op8_edges(spark, weird):
     got = secret_scan.digest(secret_scan.scan(weird)).collect()
     assert len(got) == weird.count() and all(r.n_hex == 0 for r in got if r.doc_id in (0, 1))

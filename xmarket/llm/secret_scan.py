@@ -1,11 +1,14 @@
 """Secret scan by assignment-aware lexing.
 
-Two layers give spans.  Three fixed patterns (assign, access, hex) give the base spans.  On top, a
-lexer reads name-literal pairs in source and configuration syntax (``name = "x"``, ``name: x``,
-``"name": "x"``, ``name := x``, ``name => x``, concatenations with ``+``), remembers which names hold
-which literals, follows names used as values to the literal they hold, and scores every literal by
-the target name it reaches and by its own shape.  Literals that score high enough become spans of
-kind ``named``.  Base spans always stay.
+Two layers give spans.  Three fixed patterns (assign, access, hex) give the base spans.  On top, a lexer reads the
+tokens of every line that holds an assignment (names, strings, operators, whatever else) and keeps the name that an
+operator would assign to, so it sees name-literal pairs in source and configuration syntax (``name = "x"``,
+``name: x``, ``"name": "x"``, ``table["name"] = "x"``, ``name: str = "x"``, ``a = b = "x"``, ``name := x``, ``name => x``,
+concatenations with ``+``).  Values form a graph: a node has its own literals, the nodes of the constants it was made
+of, and the shape of the whole (length, characters), which adds up from its parts.  A value is scored by the
+target name and its shape; when a score is high enough, every literal that the value was made of becomes a
+span of kind ``named`` with the score that reached it first.  A node is visited once, so a text costs its length however its
+constants refer to each other.  Base spans always stay.
 
 Defined results: a null or empty text has no spans; a null id keeps its row; repeated rows are scanned
 each on their own; extra columns are ignored; an empty table gives an empty result.  Whole texts are
@@ -28,10 +31,13 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-_DELIMITER = re.compile(r":=|=>|[:=]")
-_NAME_BEFORE = re.compile(r"([A-Za-z_$][A-Za-z0-9_.$-]*)[\"'\]]{0,2}[ \t]*(?::[ \t]*[A-Za-z_][A-Za-z0-9_\[\]. ]*)?\Z", re.A)
-_STRING = re.compile(r"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`", re.A)
-_BARE = re.compile(r"[A-Za-z0-9+/_.=$@!%^&*~-]+", re.A)
+_OPERATOR = re.compile(r"[:=]")
+_QUOTED = r"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`"
+#: Tokens of a line: strings (not after a letter, where a quote is an apostrophe), names, operators, and what parts a name from an operator.
+_TOKEN = re.compile(rf"(?<![A-Za-z0-9_])(?:{_QUOTED})|([A-Za-z_$][A-Za-z0-9_.$-]*)|(:=|=>|[:=])|(\\.|[^\s\"'\])}}A-Za-z_$:=])", re.A)
+_NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$-]*", re.A)
+_STRING = re.compile(_QUOTED, re.A)
+_BARE = re.compile(r"[A-Za-z0-9+/_.$@!%^&*~-]+={0,2}", re.A)
 _GAP = re.compile(r"[ \t]*")
 _JOIN = re.compile(r"[ \t]*\+[ \t]*")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+", re.A)
@@ -44,72 +50,128 @@ NAME_POINTS = {
     "signing": 1.0, "encryption": 1.0, "salt": 1.5, "client": 0.5, "public": -2.0, "count": -3.0, "length": -3.0, "size": -3.0,
     "limit": -3.0, "name": -1.5, "type": -2.0, "url": -2.0, "path": -2.0, "file": -1.5, "hint": -2.0, "field": -1.5, "id": -0.5,
 }
-NAME_SPAN, MIN_LITERAL, THRESHOLD = 160, 8, 4.0
+MIN_LITERAL, THRESHOLD = 8, 4.0
+_MANY = 1 << 50  # counts of characters end here: a constant doubled in every line stays a number
 
 
 def name_score(name: str) -> float:
     return sum(NAME_POINTS.get(p.lower(), 0.0) for p in _PART.findall(name))
 
 
+class Value:
+    """A literal, or what several values make together: spans of its own literals, its parts, and its shape."""
+
+    __slots__ = ("spans", "parts", "counts", "placeholder", "marked")
+
+    def __init__(self, text: str = "", spans: tuple[tuple[int, int], ...] = ()):
+        self.spans, self.parts, self.marked = spans, (), False
+        self.counts: dict[str, int] = {}
+        for c in text:
+            self.counts[c] = self.counts.get(c, 0) + 1
+        self.placeholder = bool(_PLACEHOLDER.search(text))
+
+    @staticmethod
+    def joined(parts: list[Value]) -> Value:
+        if len(parts) == 1:
+            return parts[0]
+        out = Value()
+        out.parts, out.placeholder = tuple(parts), any(p.placeholder for p in parts)
+        for p in parts:
+            for c, n in p.counts.items():
+                out.counts[c] = min(_MANY, out.counts.get(c, 0) + n)
+        return out
+
+    def score(self) -> float:
+        """Shape: length, kinds of characters and entropy; placeholders score far below zero."""
+        total = sum(self.counts.values())
+        if total < MIN_LITERAL or self.placeholder:
+            return -10.0
+        entropy = -sum(n / total * math.log2(n / total) for n in self.counts.values())
+        kinds = {"a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "." for c in self.counts}
+        return 0.5 * len(kinds) + min(2.0, entropy / 2) - 1.5 * self.counts.get(" ", 0)
+
+
 def literal_score(value: str) -> float:
-    """Shape of a literal: length, kinds of characters and entropy; placeholders score far below zero."""
-    if len(value) < MIN_LITERAL or _PLACEHOLDER.search(value):
-        return -10.0
-    counts: dict[str, int] = {}
-    for c in value:
-        counts[c] = counts.get(c, 0) + 1
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    spaces = 1.5 * value.count(" ")
-    return 0.5 * kinds + min(2.0, entropy / 2) - spaces
-
-
-def _value(text: str, at: int) -> tuple[list[tuple[str, int, int, bool]], int]:
+    return Value(value).score()
+
+
+def _operands(text: str, at: int, end: int) -> list[tuple[str, int, int, bool]]:
     """The operands of the expression at a position: (text, start, end, quoted)."""
     parts: list[tuple[str, int, int, bool]] = []
-    at = _GAP.match(text, at).end()
+    at = _GAP.match(text, at, end).end()
     while True:
-        if m := _STRING.match(text, at):
+        if m := _STRING.match(text, at, end):
             k = m.lastindex or 1
             parts.append((m.group(k), m.start(k), m.end(k), True))
-        elif m := _BARE.match(text, at):
+        elif m := _BARE.match(text, at, end):
             parts.append((m.group(), m.start(), m.end(), False))
         else:
             break
         at = m.end()
-        if not (m := _JOIN.match(text, at)):
+        if not (m := _JOIN.match(text, at, end)):
             break
         at = m.end()
-    return parts, at
+    return parts
+
+
+def _lex(text: str, at: int, end: int, held: dict[str, Value], found: dict[tuple[int, int], float], inside: bool = False) -> None:
+    """Read the tokens from at to end, remember in held what names hold, and put literals of sensitive names into found."""
+    target: str | None = None  # the name that an operator here would assign to
+    waiting: list[str] = []  # names before it that get the same value: annotated (a: str = x) or chained (a = b = x)
+    while m := _TOKEN.search(text, at, end):
+        at, kind = m.end(), m.lastindex
+        if kind == 4:
+            target = m.group(4)
+        elif kind == 6:
+            target, waiting = None, []
+        elif kind != 5:
+            value = m.group(kind)
+            if not inside and _OPERATOR.search(value):
+                _lex(text, m.start(kind), m.end(kind), held, found, True)
+            target = value if _NAME.fullmatch(value) else None
+        elif target is not None:
+            operator, parts = m.group(5), []
+            operands = _operands(text, at, end)
+            for value, start, stop, quoted in operands:
+                if not quoted and value in held:
+                    parts.append(held[value])
+                elif stop > start and (quoted or any(c.isdigit() for c in value)):
+                    parts.append(Value(value, ((start, stop),)))
+            names = [target, *(waiting if operator == "=" else ())]
+            target = None
+            if not parts:
+                waiting = names if len(operands) == 1 and not operands[0][3] else []
+                continue
+            waiting, whole = [], Value.joined(parts)
+            for name in names:
+                held[name] = whole
+                held.setdefault(name.rsplit(".", 1)[-1], whole)
+            points = max(map(name_score, names))
+            if points >= 1.5 and (score := points + whole.score()) >= THRESHOLD:
+                _mark(whole, score, found)
+
+
+def _mark(value: Value, score: float, found: dict[tuple[int, int], float]) -> None:
+    todo = [value]
+    while todo:
+        value = todo.pop()
+        if not value.marked:
+            value.marked = True
+            for span in value.spans:
+                found.setdefault(span, score)
+            todo += value.parts
 
 
 def lexed(text: str) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals that reach a sensitive name, directly or through constants."""
-    held: dict[str, list[tuple[str, int, int]]] = {}
+    held: dict[str, Value] = {}
     found: dict[tuple[int, int], float] = {}
-    for m in _DELIMITER.finditer(text):
-        before = _NAME_BEFORE.search(text[max(0, m.start() - NAME_SPAN) : m.start()].rsplit("\n", 1)[-1])
-        if not before:
-            continue
-        name, literals = before.group(1), []
-        for value, start, end, quoted in _value(text, m.end())[0]:
-            if not quoted and value in held:
-                literals += held[value]
-            elif quoted or any(c.isdigit() for c in value):
-                literals.append((value, start, end))
-        if not literals:
-            continue
-        held[name] = literals
-        held.setdefault(name.rsplit(".", 1)[-1], literals)
-        points = name_score(name)
-        if points < 1.5:
-            continue
-        joined = "".join(x[0] for x in literals)
-        score = points + literal_score(joined)
-        if score >= THRESHOLD:
-            for _, start, end in literals:
-                if end > start:
-                    found[start, end] = max(score, found.get((start, end), score))
+    at = 0
+    while m := _OPERATOR.search(text, at):
+        end = text.find("\n", m.end())
+        end = len(text) if end < 0 else end
+        _lex(text, text.rfind("\n", 0, m.start()) + 1, end, held, found)
+        at = end
     return [(s, e, round(x, 3)) for (s, e), x in found.items()]
 
 
