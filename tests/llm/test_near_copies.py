@@ -114,3 +114,24 @@ def test_a_head_with_many_partners_is_dealt_to_tasks(spark, monkeypatch):
     base = [f"w{i}" for i in range(300)]
     texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(150)]
     assert set(found(spark, texts).values()) == {0}
+
+
+def test_blocks_equal_plain_similarities(spark, monkeypatch):
+    """A bucket larger than a block, whose head is like nothing: every link comes out of the blocks."""
+    monkeypatch.setattr(near_copies, "BLOCK", 16)
+    rng = random.Random(10)
+    texts = []
+    for family in range(25):
+        base = [f"f{family}x{rng.randint(0, 900)}" for _ in range(90)]
+        for _ in range(4):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), rng.randint(0, 4)):
+                copy[at] = f"n{rng.randint(0, 10**6)}"
+            texts.append(" ".join(copy))
+    one = np.zeros(20, np.uint64)
+    monkeypatch.setattr(near_copies, "bands", lambda *_: one)
+    monkeypatch.setattr(near_copies, "links", lambda nodes: nodes.sparkSession.createDataFrame([], "src long, dst long"))
+    assert found(spark, texts) == groups(texts)
+    sets = [near_copies.shingle_set(t) for t in texts]
+    forest = near_copies._similar_forest(sets[:50], sets[50:], np.ones((50, 50), bool), 0.8)
+    assert all(near_copies.similarity_of(sets[i], sets[50 + j]) >= 0.8 for i, j in forest)

@@ -6,10 +6,12 @@ be shuffled, so the operator's exact links within three bits find the closer cop
 meets in one of BANDS bands of ROWS MinHash values each: 1 - (1 - s^5)^20 of the pairs of similarity s, 0.9996 at 0.8.
 
 Nodes are distinct texts (64-bit hash of the text).  No link counts before it is verified on the texts' sets of
-shingle hashes: a failed candidate joins nothing, and cuts nothing off.  A bucket whose members are in one
-component is done.  In each round the smallest members of every other bucket (one, then two, four, ...) are compared
-with the rest of it and leave it, so every pair of a bucket ends up compared or in one component.  Heads that
-many texts are compared with are dealt to several tasks; a comparison holds one head's hashes and streams the others.
+shingle hashes: a failed candidate joins nothing, and cuts nothing off.  Candidates are the SimHash links, texts of
+one fingerprint, and in every bucket its smallest text with each of the others; heads that many texts are compared
+with are dealt to several tasks, and a comparison holds one head's hashes and streams the others.  A bucket whose texts are
+then in one component is done.  The texts of the others are compared in blocks: BLOCK texts against BLOCK texts as a product
+of 0/1 matrices, of which only a spanning forest of the new links comes out.  So no pair of a bucket is left out
+and none is written; the work of blocks grows with the square of the texts of a bucket that no link has joined.
 
 Defined results: a null or wordless text has no shingles and is like any other such text; fewer words than a shingle
 give one shingle; rows with a null id take part, and count as greater than any id; repeated rows are copies of each
@@ -26,8 +28,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
 from xmarket.llm.simhash import SEED, links, majority, shingle_hashes
 from xmarket.llm.words import map_arrow
 from xmarket.operators.graph import connected_components
@@ -35,6 +35,8 @@ from xmarket.session import written
 
 BANDS, ROWS = 20, 5
 COMPARISONS = 2000  # of one head in one task
+BLOCK = 512
+_COLUMNS = 4096
 _PART = 1 << 9
 _TIMES = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) | np.uint64(1)
 _XOR = np.random.default_rng(SEED + 1).integers(0, 1 << 63, BANDS * ROWS, np.uint64)
@@ -85,7 +87,7 @@ def _sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
 
 
 def _shingle_sets(df: DataFrame, text_col: str, keys: DataFrame, shingle: int) -> DataFrame:
-    """(key, hashes binary) of the texts with these distinct keys."""
+    """(key, hashes binary) of the texts with these distinct keys, a written table (small ones are broadcast by its size)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([batch.column(0), pa.array([shingle_set(t, shingle).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["key", "hashes"])
@@ -119,58 +121,111 @@ def _verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return rows.select("a", "b", "hashes").mapInArrow(run, "a long, b long")
 
 
+def _similar_forest(x: list[np.ndarray], y: list[np.ndarray], apart: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """(place in x, place in y) of a spanning forest of the similar pairs for which apart holds."""
+    sizes = np.array([len(s) for s in x + y], np.int64)
+    owner = np.repeat(np.arange(len(x) + len(y)), sizes)
+    _, column, times = np.unique(np.concatenate(x + y), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1  # what occurs once is in no intersection
+    used = times[column] > 1
+    owner, column = owner[used], shared[column[used]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(x), len(y)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        lo, hi = np.searchsorted(column, [start, start + _COLUMNS])
+        has = np.zeros((len(sizes), _COLUMNS), np.float32)
+        has[owner[lo:hi], column[lo:hi] - start] = 1
+        both += has[: len(x)] @ has[len(x) :].T
+    both = both.astype(np.int64)  # exact: far below 2^24
+    total = sizes[: len(x), None] + sizes[None, len(x) :]
+    near = apart & ((total == 0) | (both / np.maximum(total - both, 1) >= similarity))
+    root, out = list(range(len(sizes))), []
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for i, j in np.argwhere(near).tolist():
+        p, q = find(i), find(len(x) + j)
+        if p != q:
+            root[q] = p
+            out.append((i, j))
+    return out
+
+
+def _in_blocks(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links (a, b) between texts of one bucket (bucket, key, component) that are in different components."""
+    size = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(size, "bucket").withColumn("block", F.pmod(F.xxhash64("key", F.lit("block")), F.col("blocks")).cast("int"))
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    rows = dealt.join(sets, "key").select("bucket", "block", "key", "component", "hashes", F.explode(met).alias("t")).select("bucket", "t.i", "t.j", "block", "key", "component", "hashes")
+
+    def close(task: tuple, held: list[tuple]) -> list[tuple[int, int]]:
+        _, i, j = task
+        left, right = [r for r in held if r[0] == i], [r for r in held if r[0] == j]
+        if not left or not right:
+            return []
+        apart = np.array([r[2] for r in left])[:, None] != np.array([r[2] for r in right])[None, :]
+        found = _similar_forest([r[3] for r in left], [r[3] for r in right], apart, similarity)
+        return [(min(p, q), max(p, q)) for p, q in ((left[m][1], right[n][1]) for m, n in found)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, found = None, [], []
+        for batch in batches:
+            names = [batch.column(c).to_pylist() for c in range(6)]
+            for bucket, i, j, block, key, component, hashes in zip(*names, batch.column(6), strict=True):
+                if (bucket, i, j) != task:
+                    if held:
+                        found += close(task, held)
+                    task, held = (bucket, i, j), []
+                held.append((block, key, component, np.frombuffer(hashes.as_buffer(), np.uint64)))
+            held = [(b, k, c, h.copy()) for b, k, c, h in held]
+            if found:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+                found = []
+        if held and (found := close(task, held)):
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long")
+
+
 def _apart(members: DataFrame) -> DataFrame:
     """The rows (bucket, key, component) of buckets that hold more than one component."""
     mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
     return members.join(mixed, "bucket", "left_semi").select("bucket", "key", "component")
 
 
-def _labelled(nodes: DataFrame, parts: DataFrame | None) -> DataFrame:
+def _labelled(nodes: DataFrame, parts: DataFrame) -> DataFrame:
     """nodes with the column component: the node's own key where no link joins it to others."""
-    if parts is None:
-        return nodes.withColumn("component", F.col("key"))
     return nodes.join(parts, F.col("key") == F.col("node"), "left").select(*nodes.columns, F.coalesce("component", "key").alias("component"))
 
 
 def _texts_in_components(df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
     """(id, key, component) of every row."""
     rows = written(_sketches(df, id_col, text_col, shingle), "sketches")
-    true: list[DataFrame] = []
-
-    def verify(edges: DataFrame) -> bool:
-        edges = written(edges, "candidates")
-        keys = edges.select(F.col("a").alias("key")).unionByName(edges.select(F.col("b").alias("key"))).distinct()
-        known = written(_shingle_sets(df, text_col, keys, shingle), "sets")
-        good = written(_verified(edges, known, similarity), "links")
-        true.append(good)
-        return good.limit(1).count() > 0
-
-    def components() -> DataFrame:
-        every = true[0]
-        for more in true[1:]:
-            every = every.unionByName(more)
-        return written(connected_components(every, "a", "b"), "components")
-
     fps = written(rows.groupBy("fp").agg(F.min("key").alias("first")), "nodes")
-    near = links(fps)
-    met = near.join(fps.select(F.col("fp").alias("src"), F.col("first").alias("b")), "src").join(fps.select(F.col("fp").alias("dst"), F.col("first").alias("a")), "dst").select("a", "b")
-    same = rows.select("fp", "key").distinct().join(fps, "fp").select(F.col("first").alias("a"), F.col("key").alias("b"))
-    found = verify(met.unionByName(same).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    parts = components() if found else None
-
-    members = _labelled(rows.select("key", "bands"), parts).select("key", "component", F.explode("bands").alias("bucket")).distinct()
-    members, heads = written(_apart(members), "members"), 1
-    while members.limit(1).count():
-        if heads == 1:
-            first = members.groupBy("bucket").agg(F.min(F.struct("key", "component")).alias("h")).select("bucket", "h.*")
-        else:
-            first = members.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("key"))).where(F.col("place") <= heads).drop("place")
-        first = written(first.select("bucket", F.col("key").alias("a"), F.col("component").alias("of_a")), "heads")
-        met = members.join(first, "bucket").where("a < key and of_a <> component").select("a", F.col("key").alias("b")).distinct()
-        if verify(met):
-            parts = components()
-        left = members.select("bucket", "key").join(first.select("bucket", F.col("a").alias("key")), ["bucket", "key"], "left_anti")
-        members, heads = written(_apart(_labelled(left, parts)), "members"), 2 * heads
+    first = lambda fp, key: fps.select(F.col("fp").alias(fp), F.col("first").alias(key))
+    linked = written(links(fps), "fingerprints").join(first("src", "b"), "src").join(first("dst", "a"), "dst").select("a", "b")
+    texts = rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))  # a text's rows have the same
+    same = texts.select("fp", F.col("key").alias("b")).join(first("fp", "a"), "fp").select("a", "b")
+
+    buckets = texts.select("key", F.explode("bands").alias("bucket"))
+    heads = buckets.groupBy("bucket").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "head")
+    members = written(buckets.join(heads, "bucket"), "buckets")
+    edges = linked.unionByName(same).unionByName(members.select(F.col("head").alias("a"), F.col("key").alias("b"))).where("a <> b")
+    edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    keys = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = written(_shingle_sets(df, text_col, written(keys, "keys"), shingle), "sets")
+    good = written(_verified(edges, sets, similarity), "links")
+    parts = written(connected_components(good, "a", "b"), "components")
+
+    left = written(_apart(_labelled(members.where("key <> head").select("bucket", "key"), parts)), "members")
+    more = written(_in_blocks(left, sets, similarity), "links")
+    if more.limit(1).count():
+        parts = written(connected_components(good.unionByName(more), "a", "b"), "components")
     return _labelled(rows.select("id", "key"), parts)
 
 
@@ -186,11 +241,17 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     Rows of one id whose texts differ are told apart by the text; of rows alike in both, any one stays.
     """
-    rows = _texts_in_components(df, id_col, text_col, shingle, similarity)
+    rows = written(_texts_in_components(df, id_col, text_col, shingle, similarity), "labels")
     least = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("least"))
-    first = least.select(F.col("least.id").alias("first_id"), F.col("least.key").alias("first_key"))
+    every = rows.groupBy("id", "key", "component").agg(F.count(F.lit(1)).alias("n")).join(least, "component")
+    is_first = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("key") == F.col("least.key"))
+    # narrow tables, broadcast if their size allows; texts move only beyond that, and those of rows that are alike
+    gone = written(every.where(~is_first | (F.col("n") > 1)).select(F.col("id").alias("gone_id"), F.col("key").alias("gone_key"), is_first.alias("alike")), "gone")
     names = [f"c{i}" for i in range(len(df.columns))]  # given names may clash with those used here
     given = df.toDF(*names)
     at_id, at_text = (names[df.columns.index(c)] for c in (id_col, text_col))
-    found = given.withColumn("key", _text_key(at_text)).join(first, F.col(at_id).eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")), "left_semi")
-    return found.dropDuplicates([at_id, "key"]).select(*names).toDF(*df.columns)
+    keyed = given.withColumn("key", _text_key(at_text))
+    matches = F.col(at_id).eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key"))
+    alone = keyed.join(gone, matches, "left_anti")
+    alike = keyed.join(gone.where("alike"), matches, "left_semi").dropDuplicates([at_id, "key"])
+    return alone.unionByName(alike).select(*names).toDF(*df.columns)
