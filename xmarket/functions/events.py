@@ -193,7 +193,7 @@ def quarter_years(c: Column) -> Column:
 
 def title_scopes(c: Column) -> Column:
     text = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9 ]+", " ")
-    patterns = {name: r"\b(?:" + words.replace(",", "|") + r")\b" for name, words in lx.TITLE_SCOPES.items()}
+    patterns = {name: r"\b(?:" + "|".join(words) + r")\b" for name, words in lx.TITLE_SCOPES.items()}
     return named(text, patterns | {"top_finish": r"\btop\s+(?:\d+|four|five|ten)\b"})
 
 

@@ -12,32 +12,37 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 # Words that carry no meaning in titles and keywords.
-STOP_WORDS = (
-    "a about above after again against all am an and any are as at be been before being below between but by can could did do "
-    "does doing during each few for from further had has have having he her here hers him his how i if in into is it its me more "
-    "most my no nor not of off on once only or our ours out over own same she should so some such than that the their theirs them "
-    "then there these they this those through to under until up was we were what when where which while who whom why will with "
-    "would you your"
-).split()
-GENERIC_MARKET_WORDS = (
-    "achieve achieved announce announced around begin best become called call change close come day days end event finish first "
-    "game get gets go going good got happen happens high hit hold keep last launch leave less lifetime live low made make market "
-    "markets more move name named new next old open out pass play price reach release released result run score set start starts "
-    "take takes time today tomorrow total visit vs vs. week win winner wins won work x yes"
-).split()
-TITLE_STOP_WORDS = (
-    "a an and any are at be before by does end for from have has how if in is many much next of on or the this to what when where "
-    "which who will with"
-).split()
-GENERIC_SINGLE_KEYWORDS = (
-    "announced arrested attend before confirmed countries country election file files game law market house order orders president "
-    "presidential price primary seat seats season senate winner year"
-).split()
-GENERIC_ENTITY_TERMS = (
-    "baseball basketball champion cup democratic election fifa football governor group league match nominee party president pro "
-    "republican season tournament world"
-).split()
-PARTICIPANT_NOISE = "ac afc as ca cf club de fc hc ogc rb rc rcd sc w".split()
+STOP_WORDS = [
+    "a", "about", "above", "after", "again", "against", "all", "am", "an", "and", "any", "are", "as", "at", "be", "been", "before",
+    "being", "below", "between", "but", "by", "can", "could", "did", "do", "does", "doing", "during", "each", "few", "for", "from",
+    "further", "had", "has", "have", "having", "he", "her", "here", "hers", "him", "his", "how", "i", "if", "in", "into", "is", "it",
+    "its", "me", "more", "most", "my", "no", "nor", "not", "of", "off", "on", "once", "only", "or", "our", "ours", "out", "over",
+    "own", "same", "she", "should", "so", "some", "such", "than", "that", "the", "their", "theirs", "them", "then", "there", "these",
+    "they", "this", "those", "through", "to", "under", "until", "up", "was", "we", "were", "what", "when", "where", "which", "while",
+    "who", "whom", "why", "will", "with", "would", "you", "your",
+]
+GENERIC_MARKET_WORDS = [
+    "achieve", "achieved", "announce", "announced", "around", "begin", "best", "become", "called", "call", "change", "close", "come",
+    "day", "days", "end", "event", "finish", "first", "game", "get", "gets", "go", "going", "good", "got", "happen", "happens",
+    "high", "hit", "hold", "keep", "last", "launch", "leave", "less", "lifetime", "live", "low", "made", "make", "market", "markets",
+    "more", "move", "name", "named", "new", "next", "old", "open", "out", "pass", "play", "price", "reach", "release", "released",
+    "result", "run", "score", "set", "start", "starts", "take", "takes", "time", "today", "tomorrow", "total", "visit", "vs", "vs.",
+    "week", "win", "winner", "wins", "won", "work", "x", "yes",
+]
+TITLE_STOP_WORDS = [
+    "a", "an", "and", "any", "are", "at", "be", "before", "by", "does", "end", "for", "from", "have", "has", "how", "if", "in", "is",
+    "many", "much", "next", "of", "on", "or", "the", "this", "to", "what", "when", "where", "which", "who", "will", "with",
+]
+GENERIC_SINGLE_KEYWORDS = [
+    "announced", "arrested", "attend", "before", "confirmed", "countries", "country", "election", "file", "files", "game", "law",
+    "market", "house", "order", "orders", "president", "presidential", "price", "primary", "seat", "seats", "season", "senate",
+    "winner", "year",
+]
+GENERIC_ENTITY_TERMS = [
+    "baseball", "basketball", "champion", "cup", "democratic", "election", "fifa", "football", "governor", "group", "league",
+    "match", "nominee", "party", "president", "pro", "republican", "season", "tournament", "world",
+]
+PARTICIPANT_NOISE = ["ac", "afc", "as", "ca", "cf", "club", "de", "fc", "hc", "ogc", "rb", "rc", "rcd", "sc", "w"]
 
 # Spellings of one keyword.
 ALIASES = {
@@ -53,11 +58,14 @@ ALIASES = {
     "us": "united states", "u.s.": "united states", "usa": "united states", "u.s.a.": "united states", "xi": "xi jinping",
 }
 DOMAIN_WORDS = {
-    "gpe": "california,brazil,brazilian,china,costa rica,costa rican,france,germany,india,iran,israel,japan,new york,russia,texas,ukraine,united kingdom,united states".split(","),
+    "gpe": [
+    "california", "brazil", "brazilian", "china", "costa rica", "costa rican", "france", "germany", "india", "iran", "israel",
+    "japan", "new york", "russia", "texas", "ukraine", "united kingdom", "united states",
+],
     "loc": ["earth", "mars", "moon"],
-    "org": "anthropic,bitcoin,ethereum,federal reserve,google,microsoft,nasdaq,openai,s&p 500,tesla".split(","),
-    "person": "alexandria ocasio cortez,donald trump,elon musk,joe biden,kamala harris,robert f kennedy,xi jinping".split(","),
-    "topic": "basis points,consumer price index,gross domestic product,inflation,interest rates,initial public offering,tariffs".split(","),
+    "org": ["anthropic", "bitcoin", "ethereum", "federal reserve", "google", "microsoft", "nasdaq", "openai", "s&p 500", "tesla"],
+    "person": ["alexandria ocasio cortez", "donald trump", "elon musk", "joe biden", "kamala harris", "robert f kennedy", "xi jinping"],
+    "topic": ["basis points", "consumer price index", "gross domestic product", "inflation", "interest rates", "initial public offering", "tariffs"],
 }
 
 # What a title's event, market layer, action, stage and direction are told by.
@@ -106,7 +114,7 @@ DIRECTIONS = {
     "exact": r"\b(?:exactly|equal to)\b",
     "up": r"\b(?:above|at least|exceed|greater than|higher|highest|more than|over)\b",
 }
-MONTHS = "january february march april may june july august september october november december".split()
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 EXCLUSIVE_SCOPES = (
     ("primary", "general_election"), ("match", "season"), ("match", "tournament"), ("district", "aggregate"), ("seat", "aggregate"),
     ("group", "overall"), ("award", "overall"), ("award", "metric"), ("award", "match"), ("award", "season"),
@@ -115,19 +123,34 @@ EXCLUSIVE_SCOPES = (
 
 # Terms of the rules that reject pairs by their titles.
 TITLE_SCOPES = {
-    "president": "president,presidential", "senate": "senate,senator", "house": "house,congressional district",
-    "governor": "governor,gubernatorial,governorship", "primary": "primary,nominee,nomination", "general": "general election",
-    "approval": "approval,rating", "winner": "winner,win,champion", "qualifier": "qualifier,qualify,qualifies",
-    "margin": "margin,margin of victory", "outright": "outright,first round", "place": "1st place,2nd place,3rd place,place",
-    "artist": "artist", "album": "album", "song": "song,track", "driver": "driver,drivers", "constructor": "constructor,constructors",
-    "relegation": "relegation,relegated",
-}
+    "president": ["president", "presidential"],
+    "senate": ["senate", "senator"],
+    "house": ["house", "congressional district"],
+    "governor": ["governor", "gubernatorial", "governorship"],
+    "primary": ["primary", "nominee", "nomination"],
+    "general": ["general election"],
+    "approval": ["approval", "rating"],
+    "winner": ["winner", "win", "champion"],
+    "qualifier": ["qualifier", "qualify", "qualifies"],
+    "margin": ["margin", "margin of victory"],
+    "outright": ["outright", "first round"],
+    "place": ["1st place", "2nd place", "3rd place", "place"],
+    "artist": ["artist"],
+    "album": ["album"],
+    "song": ["song", "track"],
+    "driver": ["driver", "drivers"],
+    "constructor": ["constructor", "constructors"],
+    "relegation": ["relegation", "relegated"],
+}
 OFFICES = ("president", "senate", "house", "governor")
 EXCLUSIVE_TITLE_SCOPES = (("artist", "album", "song"), ("driver", "constructor"), ("winner", "qualifier", "relegation", "top_finish"))
-UP_TERMS = "above,at least,exceed,exceeds,greater than,high,higher,highest,increase,over,rise,up".split(",")
-DOWN_TERMS = "at most,below,decrease,drop,fall,fewer than,less than,low,lower,lowest,under,down".split(",")
-THRESHOLD_TERMS = "above,approval,at least,at most,below,bps,close,fewer than,greater than,high,higher,low,lower,magnitude,more than,over,percent,price,range,score,than,under".split(",")
-RELATION_TERMS = "deal,normalize,relations,sanction,tariff,treaty,war".split(",")
+UP_TERMS = ["above", "at least", "exceed", "exceeds", "greater than", "high", "higher", "highest", "increase", "over", "rise", "up"]
+DOWN_TERMS = ["at most", "below", "decrease", "drop", "fall", "fewer than", "less than", "low", "lower", "lowest", "under", "down"]
+THRESHOLD_TERMS = [
+    "above", "approval", "at least", "at most", "below", "bps", "close", "fewer than", "greater than", "high", "higher", "low",
+    "lower", "magnitude", "more than", "over", "percent", "price", "range", "score", "than", "under",
+]
+RELATION_TERMS = ["deal", "normalize", "relations", "sanction", "tariff", "treaty", "war"]
 STATES = {
     "al": "alabama", "ak": "alaska", "az": "arizona", "ar": "arkansas", "ca": "california", "co": "colorado", "ct": "connecticut",
     "de": "delaware", "fl": "florida", "ga": "georgia", "hi": "hawaii", "id": "idaho", "il": "illinois", "in": "indiana",

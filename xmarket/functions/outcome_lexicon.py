@@ -6,17 +6,25 @@ Everything here is fixed: results depend on these very values.
 from __future__ import annotations
 
 # Outcome subjects that name nobody, and words of scopes and markets.
-GENERIC_SUBJECTS = "yes,no,other,others,none,n/a,na,unknown,above,below,before,after,over,under,any,someone,anyone,a human,human".split(",")
-STOP_WORDS = "a an and any are at be by does for from if in is of on or the this to will who which what when where with".split()
-GENERIC_TOKENS = (
-    "after announce announced award before best champion companies company countries country during election event events how leader "
-    "many market most new next nominee officially party primary race regular season state states title top trophy what which who win "
-    "winner winning wins year years"
-).split()
-SCOPE_WORDS = (
-    "champion championship cup division election final governor group house mayor nominee playoff president presidential primary "
-    "qualifier qualify round semifinal senate senator seat seats tournament winner world"
-).split()
+GENERIC_SUBJECTS = [
+    "yes", "no", "other", "others", "none", "n/a", "na", "unknown", "above", "below", "before", "after", "over", "under", "any",
+    "someone", "anyone", "a human", "human",
+]
+STOP_WORDS = [
+    "a", "an", "and", "any", "are", "at", "be", "by", "does", "for", "from", "if", "in", "is", "of", "on", "or", "the", "this", "to",
+    "will", "who", "which", "what", "when", "where", "with",
+]
+GENERIC_TOKENS = [
+    "after", "announce", "announced", "award", "before", "best", "champion", "companies", "company", "countries", "country",
+    "during", "election", "event", "events", "how", "leader", "many", "market", "most", "new", "next", "nominee", "officially",
+    "party", "primary", "race", "regular", "season", "state", "states", "title", "top", "trophy", "what", "which", "who", "win",
+    "winner", "winning", "wins", "year", "years",
+]
+SCOPE_WORDS = [
+    "champion", "championship", "cup", "division", "election", "final", "governor", "group", "house", "mayor", "nominee", "playoff",
+    "president", "presidential", "primary", "qualifier", "qualify", "round", "semifinal", "senate", "senator", "seat", "seats",
+    "tournament", "winner", "world",
+]
 PHRASES = {
     "world cup": r"world cup", "world baseball classic": r"world baseball classic|\bwbc\b", "golden boot": r"golden boot", "super bowl": r"super bowl",
     "stanley cup": r"stanley cup", "champions league": r"champions league",
@@ -200,37 +208,55 @@ EVENT_MARKERS = {
 }
 
 # Sets of dimensions of which two outcomes must share one if both have any.
-_STATS = [d for d in DIMENSIONS if d.startswith("stat_")]
-_AWARDS = [d for d in DIMENSIONS if d.startswith("award_") and d not in ("award_total_count", "award_category_win")]
-_TITLES = "division_title conference_title stanley_cup_title regular_season_title conference_tournament_title national_title cover_athlete playoffs_qualification player_transfer".split()
+_STATS = [
+    "stat_era", "stat_doubles", "stat_war", "stat_rbi", "stat_ops", "stat_hits", "stat_batting_average", "stat_triples",
+    "stat_home_runs", "stat_stolen_bases", "stat_runs", "stat_pitching_wins", "stat_points", "stat_rebounds", "stat_assists",
+    "stat_steals", "stat_blocks", "stat_three_pointers",
+]
+_AWARDS = [
+    "award_cy_young", "award_hank_aaron", "award_mvp", "award_hart", "award_art_ross", "award_rocket_richard", "award_calder",
+    "award_vezina", "award_jack_adams", "award_clutch", "award_defensive_player", "award_most_improved", "award_james_norris",
+    "award_conference_finals_mvp", "award_finals_mvp", "award_comeback_player", "award_presidents_trophy", "award_selke",
+    "award_rookie_of_year", "award_player_of_year",
+]
+_TITLES = [
+    "division_title", "conference_title", "stanley_cup_title", "regular_season_title", "conference_tournament_title",
+    "national_title", "cover_athlete", "playoffs_qualification", "player_transfer",
+]
 EXCLUSIVE = [
-    "arrest presidential_run presidential_election presidential_nomination office_exit office_entry impeachment retirement medal_award criminal_charge pardon runoff_advancement cover_athlete".split(),
-    "album_release song_release".split(),
-    "album_market song_market".split(),
-    "album_release song_release album_feature album_chart song_chart artist_ranking tour_announcement song_performer".split(),
-    "token_launch government_stake ipo bankruptcy acquisition".split(),
-    "country_visit diplomatic_meeting pardon trade_deal recognition relations_normalization".split(),
-    "scripted_series device_product".split(),
-    "national_chamber_control individual_legislative_race majority_loss".split(),
-    "unemployment_metric inflation_metric gdp_metric".split(),
-    "bond_role_q bond_role_bond".split(),
-    "winner competition_elimination".split(),
-    "winner qualifier round_of_16 quarterfinal".split(),
+    [
+    "arrest", "presidential_run", "presidential_election", "presidential_nomination", "office_exit", "office_entry", "impeachment",
+    "retirement", "medal_award", "criminal_charge", "pardon", "runoff_advancement", "cover_athlete",
+],
+    ["album_release", "song_release"],
+    ["album_market", "song_market"],
+    ["album_release", "song_release", "album_feature", "album_chart", "song_chart", "artist_ranking", "tour_announcement", "song_performer"],
+    ["token_launch", "government_stake", "ipo", "bankruptcy", "acquisition"],
+    ["country_visit", "diplomatic_meeting", "pardon", "trade_deal", "recognition", "relations_normalization"],
+    ["scripted_series", "device_product"],
+    ["national_chamber_control", "individual_legislative_race", "majority_loss"],
+    ["unemployment_metric", "inflation_metric", "gdp_metric"],
+    ["bond_role_q", "bond_role_bond"],
+    ["winner", "competition_elimination"],
+    ["winner", "qualifier", "round_of_16", "quarterfinal"],
     [*_STATS, *_AWARDS, *_TITLES],
-    "ufc_pound_for_pound ufc_weight_title ufc_any_title".split(),
-    "house_seat_count not_running_count".split(),
-    "ai_top_rank ai_score_threshold".split(),
-    "person_of_year richest_person google_search_ranking sexiest_person artist_ranking album_chart song_chart".split(),
-    "candidate_nomination election_winner".split(),
-    "candidate_nomination political_endorsement party_leader_election".split(),
-    "candidate_nomination political_endorsement primary_advancement primary_ranked_finish first_round_winner".split(),
-    "governor_race attorney_general_race district_race party_leader_election".split(),
-    "election_winner runoff_advancement".split(),
-    "overall_election_winner first_round_winner runoff_advancement".split(),
-    "conversation_with diplomatic_meeting person_visit_location legislative_vote office_entry speech_mention".split(),
-    "ipo_announcement ipo_first largest_ipo".split(),
-    "fed_governor_role fed_chair_role".split(),
-    "award_total_count award_category_win".split(),
+    ["ufc_pound_for_pound", "ufc_weight_title", "ufc_any_title"],
+    ["house_seat_count", "not_running_count"],
+    ["ai_top_rank", "ai_score_threshold"],
+    ["person_of_year", "richest_person", "google_search_ranking", "sexiest_person", "artist_ranking", "album_chart", "song_chart"],
+    ["candidate_nomination", "election_winner"],
+    ["candidate_nomination", "political_endorsement", "party_leader_election"],
+    ["candidate_nomination", "political_endorsement", "primary_advancement", "primary_ranked_finish", "first_round_winner"],
+    ["governor_race", "attorney_general_race", "district_race", "party_leader_election"],
+    ["election_winner", "runoff_advancement"],
+    ["overall_election_winner", "first_round_winner", "runoff_advancement"],
+    ["conversation_with", "diplomatic_meeting", "person_visit_location", "legislative_vote", "office_entry", "speech_mention"],
+    ["ipo_announcement", "ipo_first", "largest_ipo"],
+    ["fed_governor_role", "fed_chair_role"],
+    ["award_total_count", "award_category_win"],
+]
+NAMESPACES = [
+    "platform:", "award_show:", "award_category:", "speech_context:", "manager_target:", "competition:", "sport_level:", "gender:",
+    "competition_stage:", "deadline_year:", "party:", "weight_class:", "legislative_level:",
 ]
-NAMESPACES = "platform: award_show: award_category: speech_context: manager_target: competition: sport_level: gender: competition_stage: deadline_year: party: weight_class: legislative_level:".split()
-OFFICES = "president senate house governor mayor vice_president".split()
+OFFICES = ["president", "senate", "house", "governor", "mayor", "vice_president"]

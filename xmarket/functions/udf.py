@@ -52,7 +52,7 @@ _DATE = re.compile(
     r"\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(20\d{2})\b",
     re.I,
 )
-_MONTHS = {m: i for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
+_MONTHS = {m: i for i, m in enumerate(("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"), 1)}
 _OTHER = re.compile(r"\bresolve\w*\s+to\s+[\"']?other\b", re.I)
 _IF = re.compile(r"\bif\b", re.I)
 _NO_WINNER = re.compile(r"\bif\b.{0,80}\b(?:no winner|no result|nothing|none)\b.{0,35}\bby\s*$", re.I)

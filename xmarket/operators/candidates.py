@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from xmarket.functions import category
 from xmarket.functions.text import overlaps, statistics_key, strings
 from xmarket.operators import rules
-from xmarket.session import written
+from xmarket.session import discard, written
 
 col = F.col
 
@@ -138,7 +138,7 @@ def candidate_order() -> list[Column]:
     return [F.desc("semantic_score"), F.desc("quality_score"), F.desc("n"), F.desc("ov"), F.desc("jac"), F.asc("k_id"), F.asc("p_id")]
 
 
-def greedy_exclusive(pairs: DataFrame, order: list[Column], k: str = "k_id", p: str = "p_id", max_rounds: int = 200) -> DataFrame:
+def greedy_exclusive(pairs: DataFrame, order: list[Column], k: str = "k_id", p: str = "p_id") -> DataFrame:
     """Scan pairs in a strict order and take one if both its ends are free.
 
     Rounds take every pair that is first on both of its ends, which the scan would take too, and drop the pairs
@@ -146,15 +146,14 @@ def greedy_exclusive(pairs: DataFrame, order: list[Column], k: str = "k_id", p:
     """
     rest = written(pairs, "greedy")
     taken: DataFrame | None = None
-    for _ in range(max_rounds):
+    while True:  # a round takes at least the first pair of all that are left
         first = lambda key: F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
         won = written(rest.withColumn("_k", first(k)).withColumn("_p", first(p)).where("_k and _p").drop("_k", "_p"), "greedy")
         if won.limit(1).count() == 0:
             break
         taken = won if taken is None else taken.unionByName(won)
-        rest = written(rest.join(won.select(k), k, "left_anti").join(won.select(p), p, "left_anti"), "greedy")
-    else:
-        raise RuntimeError(f"greedy selection did not end in {max_rounds} rounds")
+        last, rest = rest, written(rest.join(won.select(k), k, "left_anti").join(won.select(p), p, "left_anti"), "greedy")
+        discard(last)
     return taken if taken is not None else rest
 
 

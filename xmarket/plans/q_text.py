@@ -189,7 +189,7 @@ def x27_named_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LOW = "regexp_replace(lower(coalesce(title, '')), '[^a-z0-9 ]+', ' ', 'g')"
 _LOWPCT = "(' ' || regexp_replace(lower(coalesce(title, '')), '[^a-z0-9% ]+', ' ', 'g') || ' ')"
-_TITLE_SCOPES = {n: r"\b(?:" + w.replace(",", "|") + r")\b" for n, w in lx.TITLE_SCOPES.items()} | {"top_finish": r"\btop\s+(?:\d+|four|five|ten)\b"}
+_TITLE_SCOPES = {n: r"\b(?:" + "|".join(w) + r")\b" for n, w in lx.TITLE_SCOPES.items()} | {"top_finish": r"\btop\s+(?:\d+|four|five|ten)\b"}
 _TERM = lambda words: f"regexp_matches({_LOWPCT}, '\\b(?:{'|'.join(words)})\\b')"
 _BY_COUNTRY: dict[str, list[str]] = {}
 for _a, _n in lx.COUNTRIES.items():

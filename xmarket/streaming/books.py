@@ -10,12 +10,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from xmarket.functions.pricing import FEE_RATE
+
 col = F.col
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 TICKS = 10_000
@@ -106,28 +109,18 @@ class Book:
 
 
 def walk(asks: list[tuple[float, float]], bids: list[tuple[float, float]], buy_fee: bool, sell_fee: bool) -> dict[str, float]:
-    """S9 for one pair in memory: two cursors over both sides."""
-    out = {"volume": 0.0, "profit": 0.0, "buy": 0.0, "sell": 0.0, "fees": 0.0}
-    i = j = 0
-    left_a = asks[0][1] if asks else 0.0
-    left_b = bids[0][1] if bids else 0.0
-    while i < len(asks) and j < len(bids):
-        a, b = asks[i][0], bids[j][0]
-        fa, fb = 0.07 * a * (1 - a) * buy_fee, 0.07 * b * (1 - b) * sell_fee
-        gain = b - a - fa - fb
-        if gain <= 1e-12:
-            break
-        q = min(left_a, left_b)
-        for name, unit in (("volume", 1.0), ("profit", gain), ("buy", a + fa), ("sell", 1 - b + fb), ("fees", fa + fb)):
-            out[name] += unit * q
-        left_a, left_b = left_a - q, left_b - q
-        if left_a <= 0:
-            i += 1
-            left_a = asks[i][1] if i < len(asks) else 0.0
-        if left_b <= 0:
-            j += 1
-            left_b = bids[j][1] if j < len(bids) else 0.0
-    return out
+    """S9 for one pair in memory, as the table operator says it: cumulative depths of both sides cut each other into
+    intervals of quantity, each interval has one ask and one bid, and those with a gain are summed."""
+    ask, bid = np.array(asks, float).reshape(-1, 2), np.array(bids, float).reshape(-1, 2)
+    depth, offer = np.cumsum(ask[:, 1]), np.cumsum(bid[:, 1])
+    ends = np.union1d(depth, offer)
+    ends = ends[ends <= min(depth[-1], offer[-1])] if len(ask) and len(bid) else ends[:0]
+    quantity = np.diff(ends, prepend=0.0)
+    a, b = ask[np.searchsorted(depth, ends), 0], bid[np.searchsorted(offer, ends), 0]
+    buy, sell = a + FEE_RATE * a * (1 - a) * buy_fee, 1 - b + FEE_RATE * b * (1 - b) * sell_fee
+    gain = 1 - buy - sell
+    traded = np.where(gain > 1e-12, quantity, 0.0)
+    return {"volume": float(traded.sum()), "profit": float(traded @ gain), "buy": float(traded @ buy), "sell": float(traded @ sell), "fees": float(traded @ (b - a - gain))}
 
 
 def evaluate(k: Book, p: Book) -> dict[str, Any] | None:
@@ -156,9 +149,9 @@ class PairBooks(StatefulProcessor):
         self.levels = handle.getMapState("levels", "venue string, side string, tick int", "size double", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        books = {"K": Book(), "P": Book()}
+        books, before = {"K": Book(), "P": Book()}, {}
         for (venue, side, tick), (size,) in self.levels.iterator():
-            books[venue].levels[side, tick] = size
+            books[venue].levels[side, tick] = before[venue, side, tick] = size
         batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
         order = {"clear": 0}
         batch = batch.assign(_o=[order.get(k, 1) for k in batch["kind"]]).sort_values(["seq", "_o"], kind="stable")
@@ -167,10 +160,12 @@ class PairBooks(StatefulProcessor):
             if r.mirror and r.kind != "clear":
                 side, tick = ("ask" if side == "bid" else "bid"), TICKS - tick
             books[r.venue].apply(r.kind, side, tick, float(r.size))
-        self.levels.clear()
-        for venue, book in books.items():
-            for (side, tick), size in book.levels.items():
-                self.levels.updateValue((venue, side, tick), (size,))
+        now = {(venue, *at): size for venue, book in books.items() for at, size in book.levels.items()}
+        for at in before.keys() - now.keys():
+            self.levels.removeKey(at)
+        for at, size in now.items():
+            if before.get(at) != size:  # only levels that changed are written
+                self.levels.updateValue(at, (size,))
         found = evaluate(books["K"], books["P"])
         row = {"pair_id": key[0], "action": "upsert" if found else "delete", "seq": int(batch["seq"].max())} | (found or {"buy_venue": "", "volume": 0.0, "profit": 0.0, "investment": 0.0, "fees": 0.0, "roi": 0.0})
         yield pd.DataFrame([row])
