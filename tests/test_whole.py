@@ -6,6 +6,7 @@ import pandas as pd
 
 from conftest import SF
 from xmarket import catalogue
+from xmarket.operators import candidates
 from xmarket.plans.q_pairs import index
 from xmarket.plans.views import view
 
@@ -14,8 +15,19 @@ def test_blocking_uses_every_keyword(spark):
     words = {r.event_id: (r.platform, set(r.keywords)) for r in index(spark, SF).select("event_id", "platform", "keywords").collect()}
     ks, ps = ([(i, w) for i, (v, w) in words.items() if v == venue] for venue in "KP")
     want = {(k, p): "|".join(sorted(a & b)) for k, a in ks for p, b in ps if a & b}
+    got = candidates.blocked_pairs(index(spark, SF)).collect()
+    assert len(got) == len(want) and {(r.k_id, r.p_id): "|".join(r.common_keywords) for r in got} == want
+    kept = candidates.build_pairs(index(spark, SF).drop("bet_titles"), {}).collect()
+    assert kept and all("|".join(sorted(r.common_keywords)) == want[r.k_id, r.p_id] for r in kept)
+
+
+def test_blocking_queries_use_every_listing(spark):
+    words = {r.event_id: (r.platform, set(r.keywords)) for r in index(spark, SF, "v_listings").select("event_id", "platform", "keywords").collect()}
+    assert len(words) == len(pd.read_parquet(f"{SF}/orders.parquet"))
+    ks, ps = ([(i, w) for i, (v, w) in words.items() if v == venue] for venue in "KP")
+    want = {(k, p): "|".join(sorted(a & b)) for k, a in ks for p, b in ps if a & b}
     got = catalogue.queries()["j1_blocked_pairs"](spark, SF).collect()
-    assert len(got) == len(want) and {(r.k_id, r.p_id): r.common_keywords for r in got} == want
+    assert want and {(r.k_id, r.p_id): r.common_keywords for r in got} == want and len(got) == len(want)
     kept = catalogue.queries()["j1_candidate_pairs"](spark, SF).collect()
     assert kept and all(r.common_keywords == want[r.k_id, r.p_id] for r in kept)
 

@@ -249,7 +249,7 @@ def j1_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole of J1 and J2 on all keywords: blocking, categories, keep rules, rejecting rules, quality."""
     from xmarket.operators.candidates import build_pairs
 
-    out = build_pairs(index(spark, sf_dir).drop("bet_titles"), {})
+    out = build_pairs(index(spark, sf_dir, "v_listings").drop("bet_titles"), {})
     return out.select("k_id", "p_id", "mode", "path", "quality_score", "quality_tier", F.array_join("common_keywords", "|").alias("common_keywords"))
 
 

@@ -17,10 +17,10 @@ from xmarket.plans.views import view
 col = F.col
 
 
-def index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def index(spark: SparkSession, sf_dir: str, name: str = "v_titles") -> DataFrame:
     """v_titles as an event index with keywords: title words that are no stop words."""
     words = F.filter(F.split(F.trim(F.regexp_replace(F.lower("title"), "[^a-z0-9-]+", " ")), " "), lambda w: ~w.isin("", *lx.TITLE_STOP_WORDS))
-    return view(spark, sf_dir, "v_titles").withColumn("keywords", F.array_sort(F.array_distinct(words))).withColumn("bet_titles", F.array().cast("array<string>"))
+    return view(spark, sf_dir, name).withColumn("keywords", F.array_sort(F.array_distinct(words))).withColumn("bet_titles", F.array().cast("array<string>"))
 
 
 KEYWORDS = f"list_sort(list_distinct(list_filter(string_split({WORDS}, ' '), lambda w: w <> '' AND NOT list_contains({sql_list(lx.TITLE_STOP_WORDS)}, w))))"
@@ -36,12 +36,12 @@ def g1_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query(f"""WITH {INDEX}, w AS (SELECT event_id, platform, sub_category, unnest(keywords) AS keyword FROM idx), rare AS (SELECT keyword FROM w GROUP BY keyword HAVING count(*) <= 60),
+@query(f"""WITH {INDEX.replace("v_titles", "v_listings")}, w AS (SELECT event_id, platform, unnest(keywords) AS keyword FROM idx),
 k AS (SELECT * FROM w WHERE platform = 'K'), p AS (SELECT * FROM w WHERE platform = 'P')
-SELECT k.event_id AS k_id, p.event_id AS p_id, string_agg(keyword, '|' ORDER BY keyword) AS common_keywords FROM k JOIN p USING (keyword) JOIN rare USING (keyword) GROUP BY ALL""")
+SELECT k.event_id AS k_id, p.event_id AS p_id, string_agg(keyword, '|' ORDER BY keyword) AS common_keywords FROM k JOIN p USING (keyword) GROUP BY ALL""")
 def j1_blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs that share a keyword, hot ones included; the SQL still leaves out keywords of over 60 events."""
-    pairs = candidates.blocked_pairs(index(spark, sf_dir))
+    """Pairs that share a keyword, whatever its frequency."""
+    pairs = candidates.blocked_pairs(index(spark, sf_dir, "v_listings"))
     return pairs.withColumn("common_keywords", F.array_join("common_keywords", "|"))
 
 

@@ -31,6 +31,13 @@ FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n O
   JOIN (VALUES (0, 'January'), (1, 'February'), (2, 'March'), (3, 'April'), (4, 'May'), (5, 'June'), (6, 'July'), (7, 'August'), (8, 'Sept.'), (9, 'Oct'), (10, 'November'), (11, 'December')) AS m(m_id, m_name)
     ON m.m_id = o.o_custkey % 12"""
 
+# titles whose words are as rare as names and prices are: what blocking joins on grows with the orders of one customer
+VIEWS["v_listings"] = """
+SELECT o.o_orderkey AS event_id, CASE WHEN o.o_orderkey % 2 = 0 THEN 'K' ELSE 'P' END AS platform,
+  'Will Holder' || CAST(o.o_custkey AS VARCHAR(12)) || ' be at Price' || CAST(CAST(floor(o.o_totalprice) AS BIGINT) AS VARCHAR(12)) || '?' AS title,
+  c.c_mktsegment AS category, n.n_name AS sub_category
+FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey"""
+
 VIEWS["v_book"] = """
 SELECT pair_id, venue, side, tick / 10000.0 AS price, size FROM (
   SELECT pair_id, venue, side, tick, CAST(sum(quantity) AS DOUBLE) AS size FROM (
