@@ -39,7 +39,7 @@ from xmarket.llm.words import slices
 from xmarket.session import written
 
 END_ID, WINDOW = 1, 2048
-CACHE_ENTRIES = 250_000  # of each of two generations
+CACHE_ENTRIES = 120_000  # of each of two generations
 K1, B = 1.2, 0.75
 SKETCH, SEED = 3, 20240917
 TASK_SHARDS = 8  # shards that a task packs, one after the other
