@@ -37,7 +37,7 @@ from xmarket.session import written
 UNDECIDED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 MAX_ORDER = 5
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 60_000
 
 
 def letter_words(text: str | None) -> list[str]:
