@@ -21,6 +21,7 @@ Documents of any length are packed whole: each id lies in exactly one piece.
 from __future__ import annotations
 
 import json
+import re
 import sys
 import zlib
 from array import array
@@ -46,7 +47,7 @@ TASK_SHARDS = 8  # shards that a task packs, one after the other
 
 
 _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the file's pre-tokenizer
-_UNUSUAL = regex.compile(r"[\x00-\x1f\x7f-\xa0\u0180-\U0010ffff]|<\|")  # not plain Latin, or maybe a special token
+_UNUSUAL = re.compile(r"[\x00-\x1f\x7f-\xa0\u0180-\U0010ffff]|<\|")  # not plain Latin, or maybe a special token
 
 
 class ChunkEncoder:
@@ -91,11 +92,10 @@ class ChunkEncoder:
         if "<|" in text if text.isascii() and text.isprintable() else _UNUSUAL.search(text):
             return self._packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
         text, of = text.lower(), self._pretokens
-        if text.isascii():
-            if text.isalpha():
-                return of[text]
-            if text[:-1].isalpha():
-                return of[text[:-1]] + of[text[-1]]
+        if text.isalpha():
+            return of[text]
+        if text[:-1].isalpha():
+            return of[text[:-1]] + of[text[-1]]
         return b"".join([of[p] for p in _PRETOKEN.findall(text)])
 
     def encode_batch(self, texts: list[str | None], end: int) -> list[bytes]:
