@@ -13,6 +13,8 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -384,6 +386,32 @@ def test_op7_edges(spark, weird):
     assert sharding.shard(weird.limit(0)).count() == 0
 
 
+def test_heavy_groups_stay_whole(spark):
+    """Groups up to a shard's size are never divided; one that holds a third of all rows is, with near equal sizes."""
+    texts = ["hot " * 20] * 2000 + [f"group {i % 9} " + "x" * 60 for i in range(1800)] + [f"pair {i // 2} " + "y" * 60 for i in range(2200)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(7)
+    for shards in (8, 2):
+        got = sharding.shard(d, shards).toPandas().set_index("doc_id").sort_index()
+        got["text"] = texts
+        assert len(got) == len(texts) and (got["size"] == got.text.str.len() + 1).all()
+        by_text = got.groupby("text").agg(shards=("shard", "nunique"), bytes=("size", "sum"))
+        fits = by_text.bytes <= got["size"].sum() / shards
+        assert (by_text.shards[fits] == 1).all() and ((~fits).sum(), by_text.shards[~fits].gt(1).sum()) == ((1, 1) if shards == 8 else (0, 0))
+        sizes = got.groupby("shard")["size"].sum()
+        assert len(sizes) == shards and sizes.max() - sizes.min() <= 3 * got[got.text.str.startswith("pair")]["size"].max()
+        assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+
+
+@given(st.lists(st.integers(1, 60), max_size=20), st.integers(1, 9))
+def test_homes_keep_to_the_room(sizes, shards):
+    total = sum(sizes) + 7
+    homes, room = sharding._homes(dict(enumerate(sizes)), total, shards)
+    given_ = [total * (i + 1) // shards - total * i // shards for i in range(shards)]
+    held = [sum(sizes[k] for k, h in homes.items() if h == i) for i in range(shards)]
+    assert [a - b for a, b in zip(given_, held, strict=True)] == room and min(room) >= 0
+    assert all(sizes[k] > max(room) for k in range(len(sizes)) if k not in homes)
+
+
 # --- 8: secret scan ---
 
 
