@@ -318,10 +318,11 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         return pa.RecordBatch.from_arrays(columns, schema=pa.schema([batch.schema.field(i) for i in range(len(columns))]))
 
     found = marks(_known(df, id_col, text_col).select("key", "text"), window, prefix)
-    per_doc = found.groupBy("key").agg(F.collect_set(F.struct("first", "n")).alias("__spans"))
-    keyed = df.withColumn("__key", F.xxhash64(id_col, text_col))
-    joined = keyed.join(per_doc.withColumnRenamed("key", "__key"), "__key", "left").select(*(f"`{c}`" for c in df.columns), "__spans")
-    return map_arrow(joined, run, df.schema)
+    per_doc = found.groupBy("key").agg(F.collect_set(F.struct("first", "n")).alias("spans"))  # at most the windows of one text
+    names = [f"c{i}" for i in range(len(df.columns))]  # given names may clash with those used here
+    keyed = df.toDF(*names).withColumn("key", F.xxhash64(names[df.columns.index(id_col)], names[at]))
+    joined = keyed.join(per_doc, "key", "left").select(*names, "spans")
+    return map_arrow(joined, run, df.toDF(*names).schema).toDF(*df.columns)
 
 
 def cut(text: str | None, spans: list[dict] | None, window: int = WINDOW) -> str | None:
