@@ -96,6 +96,10 @@ def test_op1_edges(spark, weird):
     by_id = {r.doc_id: r for r in got}
     assert by_id[6].n_removed == by_id[6].n_words == 3000 and by_id[0].n_words == 0
     assert substring_dedup.ranges(weird.limit(0)).count() == 0
+    clash = weird.withColumns({"key": F.col("doc_id"), "spans": F.lit("s"), "__key": F.lit(1), "a.b": F.lit(2)})
+    same = substring_dedup.deduplicate(clash)
+    assert same.schema.names == clash.schema.names and same.count() == clash.count()
+    assert {(r["doc_id"], r["key"], r["spans"], r["__key"], r["a.b"]) for r in same.collect()} == {(r.doc_id, r.doc_id, "s", 1, 2) for r in weird.collect()}
     cut = substring_dedup.deduplicate(weird)
     assert cut.columns == weird.columns and cut.count() == weird.count()
     assert substring_dedup.cut("a  b\nc d", [{"first": 1, "n": 1}], 2) == "a  d"
@@ -318,6 +322,14 @@ def test_op5_on_real_vectors(spark):
     assert got.n_links.sum() >= 0.9 * link.sum() and (got.n_links <= link.sum(axis=1)).all()
 
 
+@pytest.mark.parametrize(("kind", "labels"), [("string", ["red", "red", "blue", None]), ("double", [1.2, 1.2, 1.9, None])])
+def test_op5_labels_of_other_types_and_doubles(spark, kind, labels):
+    tiny = 1e-60  # below what 32 bits can hold: only the direction counts
+    rows = [(i, [x * tiny for x in (3.0, 4.0, 0.0)], labels[i]) for i in range(4)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 0, 3)}
+
+
 def test_op5_chunks_of_a_cell_meet(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "CHUNK", 4)
     base = np.random.default_rng(1).standard_normal(8)

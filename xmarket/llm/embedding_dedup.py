@@ -15,7 +15,8 @@ vectors, as any count of collisions within one label does; links between any two
 
 Defined results: rows whose label is null, or whose vector is null, empty, zero or holds null or non-finite
 components, link with nothing (n_links 0, own component, kept); vectors of different lengths don't link;
-rows that share a vec_id are one node of the components; a row with a null vec_id links with nothing and
+labels may be of any type that can be compared, and 32-bit components stay so, others are taken as doubles; ids are
+whole numbers; rows that share a vec_id are one node of the components; a row with a null vec_id links with nothing and
 has a null component; extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -33,7 +34,6 @@ from xmarket.session import written
 from xmarket.llm.words import map_arrow
 
 PROJECTIONS, CHUNK, SEED = 64, 4096, 20240917
-_TASK = "label int, dim int, ca long, ia int, cb long, ib int"
 
 
 def calibrated(threshold: float, recall: float, projections: int = PROJECTIONS) -> tuple[float, float, int]:
@@ -58,7 +58,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def _with_cells(classes: DataFrame, guard: float) -> DataFrame:
     """(label, dim, embedding, rep, mult, cell): cell is the place of the first projection."""
-    label = classes.schema["label"].dataType.simpleString()
+    label, vector = (classes.schema[c].dataType.simpleString() for c in ("label", "embedding"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         vectors, cells = batch.column(1).to_pylist(), []
@@ -67,7 +67,7 @@ def _with_cells(classes: DataFrame, guard: float) -> DataFrame:
             cells.append(int(np.floor((x / np.linalg.norm(x)) @ directions(len(x))[:, 0] / guard)))
         return pa.record_batch([*batch.columns, pa.array([len(v) for v in vectors], pa.int32()), pa.array(cells, pa.int64())], names=["label", "embedding", "rep", "mult", "dim", "cell"])
 
-    return map_arrow(classes.select("label", "embedding", "rep", "mult"), run, f"label {label}, embedding array<float>, rep long, mult long, dim int, cell long")
+    return map_arrow(classes.select("label", "embedding", "rep", "mult"), run, f"label {label}, embedding {vector}, rep long, mult long, dim int, cell long")
 
 
 def _links_in_task(half: float, need: int, threshold: float):
@@ -122,7 +122,8 @@ def _links_in_task(half: float, need: int, threshold: float):
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, recall: float = 0.9999) -> DataFrame:
     """(id, n_links, component_id, kept) of every row."""
     half, guard, need = calibrated(threshold, recall)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"), F.col(vector_col).cast("array<float>").alias("embedding"))
+    narrow = df.schema[vector_col].dataType.simpleString() == "array<float>"
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<float>" if narrow else "array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     able = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("able", able)
