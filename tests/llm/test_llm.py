@@ -84,6 +84,18 @@ def test_op1_on_made_texts(spark, limit):
     assert [tuple(r)[1:] for r in got] == brute_substring(texts)
 
 
+@pytest.mark.parametrize("limit", [2, 6])
+def test_op1_divides_groups_by_longer_prefixes(spark, limit):
+    """One passage of 34 words before many endings, so that groups differ after 12, 24 or 35 words; some endings repeat."""
+    rng = random.Random(11)
+    head = [f"h{i}" for i in range(34)]
+    texts = [" ".join(head[rng.choice((0, 10, 20)) :] + [f"t{rng.randint(0, 5)}" for _ in range(rng.randint(1, 40))]) for _ in range(60)]
+    texts += [" ".join(head + ["t1", "t2"]), " ".join(["before"] + head + ["t1"]), " ".join(head)]
+    got = substring_dedup.digest(substring_dedup.ranges(docs(spark, texts), group_limit=limit)).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == brute_substring(texts)
+    assert any(r.n_removed for r in got)
+
+
 def test_op1_on_real_texts(spark):
     d = real()
     got = queries.op1_substring_dedup(spark, SF).orderBy("doc_id").collect()

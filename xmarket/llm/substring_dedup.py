@@ -9,13 +9,15 @@ grouped without loss before any text moves:
    share theirs, so a run of windows with one place of their anchor is one row (about one for twelve words).
 2. *Groups.*  An anchor that occurs once in the corpus has no repeat and drops out (counts with partial sums, so
    a hot anchor is combined before the shuffle).  Runs of one anchor whose words are all alike (by hash) are one
-   variant; a variant that occurs twice is a repeat as a whole, and needs no tree.
+   variant; a variant that occurs twice is a repeat as a whole, and needs no tree.  Anchor and variant are hashes of
+   64 bits each.
 3. *Trees.*  Where an anchor has several variants, one segment of text per variant goes to the anchor's group.
    Groups are packed into memory-sized chunks and each chunk builds the levels of its suffix tree by doubling:
    a node at depth d holds the suffixes that agree on d words, leaves are dropped, and nodes at depth WINDOW
    with two suffixes or more are the repeats.  Here words are compared exactly.
-4. *Longer prefixes.*  A group with more than GROUP_LIMIT variants is divided by the longest prefix that matters,
-   all WINDOW words: its windows become rows of their own, counted by hash with partial sums.
+4. *Longer prefixes.*  A group with more than GROUP_LIMIT variants, more than one tree holds, is divided: the runs of
+   its variants get new anchors with a prefix of twice the length, and pass through 1 to 3 again, until the group
+   fits or the prefix is a whole window, where a group is one node of the tree.
 
 Repeats go back to their documents as ranges of words.  Rows are known by a 64-bit hash of id and text.
 
@@ -28,7 +30,7 @@ texts are read, whatever their length.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ from xmarket.llm.words import map_arrow, words_of
 from xmarket.session import written
 
 WINDOW, PREFIX = 35, 12
-GROUP_LIMIT = 20_000
+GROUP_LIMIT = 5_000
 _CHUNK_WORDS, _SLICE_WORDS = 1_500_000, 400_000
 _A, _B, _Q = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
@@ -111,6 +113,17 @@ def runs(words: list[bytes], window: int = WINDOW, prefix: int = PREFIX) -> list
     return out
 
 
+_RUN = "anchor long, whole long, key long, first int, n int"
+
+
+def _run_rows(parts: list[tuple]) -> pa.RecordBatch:
+    """Rows of _RUN from (key, anchor, whole, first, n)."""
+    key, anchor, whole, first, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    return pa.record_batch(
+        [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(key), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
+        names=["anchor", "whole", "key", "first", "n"],
+    )
+
 
 def _runs_of(docs: DataFrame, window: int, prefix: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,13 +133,9 @@ def _runs_of(docs: DataFrame, window: int, prefix: int) -> DataFrame:
                 for key, text in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist(), strict=True):
                     parts += [(np.full(len(x[0]), key), *x) for x in runs(words_of(text), window, prefix)]
                 if parts:
-                    key, anchor, whole, first, n = (np.concatenate(c) for c in zip(*parts, strict=True))
-                    yield pa.record_batch(
-                        [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(key), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
-                        names=["anchor", "whole", "key", "first", "n"],
-                    )
+                    yield _run_rows(parts)
 
-    return docs.select("key", "text").mapInArrow(run, "anchor long, whole long, key long, first int, n int")
+    return docs.select("key", "text").mapInArrow(run, _RUN)
 
 
 def repeats_in_tree(segments: list[list[bytes]], windows: list[int], window: int = WINDOW) -> list[np.ndarray]:
@@ -203,42 +212,51 @@ def _trees(segments: DataFrame, window: int) -> DataFrame:
     return segments.select("anchor", "key", "first", "n", "done", "words").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _MARK)
 
 
-def _segments(joined: DataFrame, window: int, prefix: int, as_windows: bool) -> DataFrame:
-    """Texts of the asked runs, or the hashes of their single windows."""
+def _asked_runs(part: pa.RecordBatch, hot: bool) -> Iterator[tuple[int, dict, list[bytes]]]:
+    """(key, run, its words) of the asked runs of a batch of (key, text, asked)."""
+    for key, text, asked in zip(*(c.to_pylist() for c in part.columns), strict=True):
+        words = words_of(text)
+        for x in asked:
+            if x["hot"] == hot:
+                yield key, x, words
+
+
+def _segments(joined: DataFrame, window: int) -> DataFrame:
+    """Texts of the asked runs whose groups fit a tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                out: list[tuple] = []
-                part = batch.slice(at, 500)
-                for key, text, asked in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    words = words_of(text)
-                    for x in asked:
-                        if x["hot"] != as_windows:
-                            continue
-                        own = words[x["first"] : x["first"] + x["n"] + window - 1]
-                        if as_windows:
-                            h = _prefix_hashes(word_hashes(own), window).view(np.int64).tolist()
-                            out += [(x["anchor"], key, x["first"] + i, v) for i, v in enumerate(h)]
-                        else:
-                            out.append((x["anchor"], key, x["first"], x["n"], x["done"], b" ".join(own)))
-                if out and as_windows:
-                    c = list(zip(*out, strict=True))
-                    yield pa.record_batch([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.int64())], names=["anchor", "key", "first", "hash"])
-                elif out:
+                asked = _asked_runs(batch.slice(at, 500), False)
+                out = [(x["anchor"], key, x["first"], x["n"], x["done"], b" ".join(words[x["first"] : x["first"] + x["n"] + window - 1])) for key, x, words in asked]
+                if out:
                     c = list(zip(*out, strict=True))
                     yield pa.record_batch(
                         [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.int32()), pa.array(c[4], pa.bool_()), pa.array(c[5], pa.binary())],
                         names=["anchor", "key", "first", "n", "done", "words"],
                     )
 
-    schema = "anchor long, key long, first int, hash long" if as_windows else "anchor long, key long, first int, n int, done boolean, words binary"
-    return joined.select("key", "text", "asked").mapInArrow(run, schema)
+    return joined.select("key", "text", "asked").mapInArrow(run, "anchor long, key long, first int, n int, done boolean, words binary")
 
 
-def marks(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(key, first, n): runs of repeated windows of docs (key, text)."""
-    rows = _runs_of(docs, window, prefix)
+def _longer_runs(joined: DataFrame, window: int, prefix: int) -> DataFrame:
+    """The asked runs of groups that don't fit, divided by the anchors of a longer prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                parts: list[tuple] = []
+                for key, x, words in _asked_runs(batch.slice(at, 500), True):
+                    own = words[x["first"] : x["first"] + x["n"] + window - 1]
+                    parts += [(np.full(len(a), key), a, whole, first + x["first"], n) for a, whole, first, n in runs(own, window, prefix)]
+                if parts:
+                    yield _run_rows(parts)
+
+    return joined.select("key", "text", "asked").mapInArrow(run, _RUN)
+
+
+def _level(rows: DataFrame, group_limit: int | None) -> tuple[DataFrame, DataFrame]:
+    """Runs that repeat as a whole (key, first, n), and per text the runs whose words are to be compared."""
     shared = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("whole").alias("lo"), F.max("whole").alias("hi")).where("c > 1")
     shared = written(shared, "shared")  # a table of its own, so that a hot anchor's rows can be split in the join
     held = written(rows.join(shared.select("anchor", (F.col("lo") == F.col("hi")).alias("single")), "anchor"), "runs")
@@ -248,21 +266,28 @@ def marks(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_lim
     variants = many.groupBy("anchor", "whole", "n").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "first")).alias("one"))
     variants = written(variants.select("anchor", "whole", "n", (F.col("c") > 1).alias("done"), "one.key", "one.first"), "variants")
     again = variants.where("done").select("anchor", "whole", "n")
-    whole_many = many.join(again, ["anchor", "whole", "n"], "left_semi").select("key", "first", "n")
+    # a merge join: a variant that fills much of the corpus is one key, which is split only there
+    whole_many = many.join(again.hint("merge"), ["anchor", "whole", "n"], "left_semi").select("key", "first", "n")
 
     groups = variants.groupBy("anchor").agg(F.count(F.lit(1)).alias("v"), F.max(~F.col("done")).alias("open")).where("open and v > 1")
-    groups = written(groups, "groups")
-    asked = variants.join(groups.select("anchor", (F.col("v") > group_limit).alias("hot")), "anchor")
-    asked = written(asked.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "n", "done", "hot")).alias("asked")), "asked")  # at most the runs of one text
-    joined = docs.join(asked, "key")
-    found = _trees(_segments(joined, window, prefix, False), window)
-    if asked.where(F.exists("asked", lambda x: x["hot"])).limit(1).count():
-        # variants done elsewhere are places too, so a count of two includes them; marking them again is harmless
-        single = _segments(joined, window, prefix, True)
-        twice = single.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-        hot = single.join(twice.select("anchor", "hash"), ["anchor", "hash"], "left_semi")
-        found = found.unionByName(hot.select("key", "first", F.lit(1).alias("n")))
-    return whole_single.unionByName(whole_many).unionByName(found)
+    hot = F.lit(False) if group_limit is None else F.col("v") > group_limit
+    asked = variants.join(written(groups, "groups").select("anchor", hot.alias("hot")), "anchor")
+    asked = asked.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "n", "done", "hot")).alias("asked"))  # at most the runs of one text
+    return whole_single.unionByName(whole_many), written(asked, "asked")
+
+
+def marks(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """(key, first, n): runs of repeated windows of docs (key, text)."""
+    rows, found = _runs_of(docs, window, prefix), []
+    while True:  # the prefix doubles, so there are few rounds
+        whole, asked = _level(rows, group_limit if prefix < window else None)
+        joined = docs.join(asked, "key")
+        found += [whole, _trees(_segments(joined, window), window)]
+        # where most groups fit, few texts are read again; runs done elsewhere are places too and go along
+        if prefix >= window or not asked.where(F.exists("asked", lambda x: x["hot"])).limit(1).count():
+            return reduce(DataFrame.unionByName, found)
+        prefix = min(2 * prefix, window)
+        rows = _longer_runs(joined.where(F.exists("asked", lambda x: x["hot"])), window, prefix)
 
 
 def _covered(n_words: int, spans: list[dict] | None, window: int) -> np.ndarray:
