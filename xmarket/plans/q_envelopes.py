@@ -204,11 +204,13 @@ def r20_scope_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", outcomes.scope_conflict("k", "p", [["winner", "qualifier"]], ["competition:"]).alias("conflict"))
 
 
-@query("SELECT l_orderkey, l_partkey, l_suppkey, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC) AS a FROM lineitem) x WHERE a = 1 AND false")
+@query()
 def r26_contract_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R26 where every pair has a hard conflict: nothing stays (cases are compared in the tests)."""
-    rows = base(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", F.lit("e").alias("k_id"), F.lit("f").alias("p_id"), col("l_partkey").alias("k_bet_id"), col("l_suppkey").alias("p_bet_id"))
-    return envelopes.one_to_one(rows, F.lit(True), [F.asc("l_orderkey")]).select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    """R26 on all lines: a supplier and a line status are an event pair, parts are K bets, shipping days P bets, a return is a conflict; compared with a scan in the tests."""
+    line = base(spark, sf_dir, "lineitem")
+    rows = line.select(col("l_suppkey").alias("k_id"), col("l_linestatus").alias("p_id"), col("l_partkey").alias("k_bet_id"), F.to_date("l_shipdate").alias("p_bet_id"), "l_quantity", (col("l_returnflag") == "R").alias("conflict")).distinct()
+    order = [F.desc("l_quantity"), F.asc("k_bet_id"), F.asc("p_bet_id"), F.asc("k_id"), F.asc("p_id")]
+    return envelopes.one_to_one(rows, col("conflict"), order).select("k_id", "p_id", "k_bet_id", "p_bet_id", "l_quantity").distinct()
 
 
 @query("SELECT c_custkey AS market_id, CASE WHEN c_custkey % 3 = 0 THEN 'tok' || c_custkey ELSE 'found' || c_custkey END AS token FROM customer")
@@ -218,11 +220,16 @@ def io16_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.token_ids(c, known, lambda m: f"found{m}").select(col("market_id").cast("long").alias("market_id"), "token")
 
 
-@query("""WITH m AS (SELECT l_orderkey AS ord, CAST(l_partkey AS VARCHAR) AS k, CAST(l_suppkey AS VARCHAR) AS p FROM lineitem WHERE l_linenumber = 1 AND l_partkey % 4 <> 0),
-a AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ord DESC) AS r1 FROM m), b AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY ord DESC) AS r2 FROM a WHERE r1 = 1) SELECT ord, k AS k_bet_id, p AS p_bet_id FROM b WHERE r2 = 1""")
+_ORD = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice"  # lines of an order may share a number
+
+
+@query(f"""WITH m AS (SELECT row({_ORD}) AS ord, l_orderkey, CAST(l_partkey AS VARCHAR) AS k, CAST(l_suppkey AS VARCHAR) AS p FROM lineitem WHERE l_partkey % 4 <> 0),
+a AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ord DESC) AS r1 FROM m), b AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY ord DESC) AS r2 FROM a WHERE r1 = 1) SELECT l_orderkey, k AS k_bet_id, p AS p_bet_id FROM b WHERE r2 = 1""")
 def io17_load_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(col("l_orderkey").alias("ord"), F.when(col("l_partkey") % 4 != 0, col("l_partkey").cast("string")).alias("k_bet_id"), col("l_suppkey").cast("string").alias("p_bet_id"))
-    return envelopes.load_matches(rows).select("ord", "k_bet_id", "p_bet_id")
+    """IO17 on all lines; every fourth part has no id."""
+    line = base(spark, sf_dir, "lineitem")
+    rows = line.select("l_orderkey", F.struct(*_ORD.split(", ")).alias("ord"), F.when(col("l_partkey") % 4 != 0, col("l_partkey").cast("string")).alias("k_bet_id"), col("l_suppkey").cast("string").alias("p_bet_id"))
+    return envelopes.load_matches(rows).select("l_orderkey", "k_bet_id", "p_bet_id")
 
 
 @query("SELECT c_custkey, c_custkey < 100 AS in_budget FROM customer")

@@ -10,7 +10,7 @@ from xmarket.functions import outcome_lexicon as ox
 from xmarket.operators import candidates, decisions, envelopes, matching, metrics, outcomes, rules
 from xmarket.plans.q_book import LEVELS
 from xmarket.plans.q_decisions import _FOUR, _with_evidence
-from xmarket.plans.q_pairs import NEIGHBOURS, _neighbours
+from xmarket.plans.q_pairs import ACCOUNT_PAIRS, _account_pairs
 from xmarket.plans.q_text import _LOWPCT, sql_list, sql_named
 from xmarket.plans.registry import query
 from xmarket.plans.views import base, view
@@ -71,13 +71,13 @@ def j3_outcome_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 _YEARS = r"list_sort(list_distinct(regexp_extract_all({0}, '\b(20[2-3][0-9])\b', 1)))"
 
 
-@query(f"""WITH {NEIGHBOURS}, y AS (SELECT k_id, p_id, {_YEARS.format('k_title')} AS ky, {_YEARS.format('p_title')} AS py FROM nb)
+@query(f"""WITH {ACCOUNT_PAIRS}, y AS (SELECT k_id, p_id, {_YEARS.format('k_title')} AS ky, {_YEARS.format('p_title')} AS py FROM nb)
 SELECT k_id, p_id, len(ky) > 0 AND len(py) > 0 AND len(list_filter(ky, lambda a: len(list_filter(py, lambda b: abs(CAST(a AS INT) - CAST(b AS INT)) <= 1)) > 0)) = 0 AS signature_conflict,
  len(ky) > 0 AND len(py) > 0 AND len(list_intersect(ky, py)) = 0 AS hard_conflict FROM y""")
 def r2_r3_year_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.array().cast("array<string>")
     ky, py = events.years(col("k_title")), events.years(col("p_title"))
-    return _neighbours(spark, sf_dir).select("k_id", "p_id", rules.signature_conflict(ky, py, none, none).alias("signature_conflict"), rules.hard_conflict(ky, py, none, none).alias("hard_conflict"))
+    return _account_pairs(spark, sf_dir).select("k_id", "p_id", rules.signature_conflict(ky, py, none, none).alias("signature_conflict"), rules.hard_conflict(ky, py, none, none).alias("hard_conflict"))
 
 
 def _has(words, expr: str) -> str:
@@ -89,10 +89,10 @@ def _has(words, expr: str) -> str:
 _UP, _DOWN = events.lx.UP_TERMS, events.lx.DOWN_TERMS
 
 
-@query(f"""WITH {NEIGHBOURS}, d AS (SELECT k_id, p_id, {_has(_UP, 'k_title')} AS ku, {_has(_DOWN, 'k_title')} AS kd, {_has(_UP, 'p_title')} AS pu, {_has(_DOWN, 'p_title')} AS pd FROM nb)
+@query(f"""WITH {ACCOUNT_PAIRS}, d AS (SELECT k_id, p_id, {_has(_UP, 'k_title')} AS ku, {_has(_DOWN, 'k_title')} AS kd, {_has(_UP, 'p_title')} AS pu, {_has(_DOWN, 'p_title')} AS pd FROM nb)
 SELECT k_id, p_id, (ku AND NOT kd AND pd AND NOT pu) OR (kd AND NOT ku AND pu AND NOT pd) AS conflict FROM d""")
 def r6_direction_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _neighbours(spark, sf_dir).select("k_id", "p_id", rules.direction_conflict().alias("conflict"))
+    return _account_pairs(spark, sf_dir).select("k_id", "p_id", rules.direction_conflict().alias("conflict"))
 
 
 _QUARTERS = lambda c: rf"list_distinct(regexp_extract_all(lower({c}), '\b(q[1-4] 20[2-3][0-9])\b', 1))"
@@ -100,15 +100,15 @@ _MARK = events._DATE.replace("'", "''")
 _MARKS = lambda c: f"list_transform(regexp_extract_all({c}, '{_MARK}', ['m', 'd', 'y']), lambda p: {{'m': lower(substr(p.m, 1, 3)), 'd': CAST(p.d AS INT), 'y': coalesce(p.y, '')}})"
 
 
-@query(f"""WITH {NEIGHBOURS}, d AS (SELECT k_id, p_id, {_QUARTERS('k_title')} AS kq, {_QUARTERS('p_title')} AS pq, {_MARKS('k_title')} AS km, {_MARKS('p_title')} AS pm FROM nb)
+@query(f"""WITH {ACCOUNT_PAIRS}, d AS (SELECT k_id, p_id, {_QUARTERS('k_title')} AS kq, {_QUARTERS('p_title')} AS pq, {_MARKS('k_title')} AS km, {_MARKS('p_title')} AS pm FROM nb)
 SELECT k_id, p_id, (len(kq) > 0 AND len(pq) > 0 AND len(list_intersect(kq, pq)) = 0) OR (len(km) > 0 AND len(pm) > 0 AND len(list_filter(km, lambda a: len(list_filter(pm, lambda b: a.m = b.m AND a.d = b.d AND (a.y = '' OR b.y = '' OR a.y = b.y))) > 0)) = 0) AS conflict FROM d""")
 def r5_date_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _neighbours(spark, sf_dir).select("k_id", "p_id", rules.date_scope_conflict().alias("conflict"))
+    return _account_pairs(spark, sf_dir).select("k_id", "p_id", rules.date_scope_conflict().alias("conflict"))
 
 
-@query(f"""WITH {NEIGHBOURS} SELECT k_id, p_id, len(common) > 0 AND len(kt) > 0 AND len(pt) > 0 AND (kt = pt OR (ov >= 0.85 AND jac >= 0.75) OR (n >= 4 AND ov >= 0.45) OR (n >= 3 AND ov >= 0.55) OR (n >= 2 AND ov >= 0.70) OR (n >= 2 AND d > 0 AND ov >= 0.55) OR (n = 1 AND d > 0 AND ov >= 0.75 AND jac >= 0.50)) AS by_title FROM m""")
+@query(f"""WITH {ACCOUNT_PAIRS} SELECT k_id, p_id, len(common) > 0 AND len(kt) > 0 AND len(pt) > 0 AND (kt = pt OR (ov >= 0.85 AND jac >= 0.75) OR (n >= 4 AND ov >= 0.45) OR (n >= 3 AND ov >= 0.55) OR (n >= 2 AND ov >= 0.70) OR (n >= 2 AND d > 0 AND ov >= 0.55) OR (n = 1 AND d > 0 AND ov >= 0.75 AND jac >= 0.50)) AS by_title FROM m""")
 def r13_textual_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.with_evidence(_neighbours(spark, sf_dir)).select("k_id", "p_id", rules.keeps_by_title().alias("by_title"))
+    return rules.with_evidence(_account_pairs(spark, sf_dir)).select("k_id", "p_id", rules.keeps_by_title().alias("by_title"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 4 = 3 THEN 'exact_title' WHEN p_size % 5 = 0 THEN 'fixture' WHEN p_size % 3 = 0 THEN 'multi_anchor' WHEN p_size % 2 = 0 THEN 'rare_keyword_only' WHEN p_size % 4 = 0 THEN 'weak' WHEN p_size % 4 = 1 THEN 'other' END AS segment FROM part""")

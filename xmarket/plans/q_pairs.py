@@ -24,7 +24,7 @@ def index(spark: SparkSession, sf_dir: str, name: str = "v_titles") -> DataFrame
 
 
 KEYWORDS = f"list_sort(list_distinct(list_filter(string_split({WORDS}, ' '), lambda w: w <> '' AND NOT list_contains({sql_list(lx.TITLE_STOP_WORDS)}, w))))"
-INDEX = f"idx AS (SELECT event_id, platform, title, category, sub_category, {KEYWORDS} AS keywords FROM v_titles)"
+INDEX = f"idx AS (SELECT event_id, platform, account, title, category, sub_category, {KEYWORDS} AS keywords FROM v_titles)"
 _SING = "CASE WHEN regexp_matches(w, '(ss|us|is|as)$') THEN w WHEN w LIKE '%ies' AND length(w) > 5 THEN left(w, length(w) - 3) || 'y' WHEN w LIKE '%s' AND length(w) > 4 THEN left(w, length(w) - 1) ELSE w END"
 
 
@@ -45,21 +45,21 @@ def j1_blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("common_keywords", F.array_join("common_keywords", "|"))
 
 
-def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K and P events of neighbouring orders and their features: pairs for the rules, as many as events."""
+def _account_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K and P events of one account and their features: every event has several partners."""
     feats = rules.pair_features(index(spark, sf_dir))
     k = rules.side(feats.where("platform = 'K'"), "k").withColumnRenamed("k_event_id", "k_id")
     p = rules.side(feats.where("platform = 'P'"), "p").withColumnRenamed("p_event_id", "p_id")
-    pairs = k.join(p, col("p_id") == col("k_id") + 1)
+    pairs = k.join(p, col("p_account") == col("k_account"))
     return pairs.withColumn("common_keywords", F.array_sort(F.array_intersect("k_keywords", "p_keywords")))
 
 
 _LOW = "regexp_replace(lower(coalesce(title, '')), '[^a-z0-9 ]+', ' ', 'g')"
 _PADDED = "(' ' || trim(regexp_replace(lower(event_id || ' ' || title || ' ' || category || ' ' || sub_category), '[^a-z0-9 ]+', ' ', 'g')) || ' ')"
-NEIGHBOURS = f"""{INDEX}, f AS (SELECT *, {TOKENS} AS tokens, (regexp_matches({_PADDED}, ' (match|game|maps?|bo1|bo3|bo5|vs) ') OR contains(regexp_replace({_PADDED}, '[^a-z0-9]+', '', 'g'), 'map')) AS is_match,
+ACCOUNT_PAIRS = f"""{INDEX}, f AS (SELECT *, {TOKENS} AS tokens, (regexp_matches({_PADDED}, ' (match|game|maps?|bo1|bo3|bo5|vs) ') OR contains(regexp_replace({_PADDED}, '[^a-z0-9]+', '', 'g'), 'map')) AS is_match,
   regexp_matches({_PADDED}, ' (tournament|championship|champion|major|cup|open|season winner|season) ') AS is_event FROM idx),
 nb AS (SELECT k.event_id AS k_id, p.event_id AS p_id, k.keywords AS kk, p.keywords AS pk, k.tokens AS kt, p.tokens AS pt, k.is_match AS km, k.is_event AS ke, p.is_match AS pm, p.is_event AS pe,
-  k.title AS k_title, p.title AS p_title, list_sort(list_intersect(k.keywords, p.keywords)) AS common FROM f k JOIN f p ON k.platform = 'K' AND p.platform = 'P' AND p.event_id = k.event_id + 1),
+  k.title AS k_title, p.title AS p_title, list_sort(list_intersect(k.keywords, p.keywords)) AS common FROM f k JOIN f p ON k.platform = 'K' AND p.platform = 'P' AND p.account = k.account),
 ev AS (SELECT *, list_distinct(list_transform(list_filter(common, lambda w: NOT list_contains({sql_list(lx.GENERIC_SINGLE_KEYWORDS)}, w)), lambda w: {_SING})) AS evidence FROM nb),
 m AS (SELECT *, len(evidence) AS n, len(list_filter(evidence, lambda w: NOT list_contains({sql_list(lx.GENERIC_SINGLE_KEYWORDS)}, w) AND (regexp_matches(w, '[ 0-9-]') OR length(w) >= 9))) AS d,
   CASE WHEN least(len(kt), len(pt)) > 0 THEN len(list_intersect(kt, pt)) / least(len(kt), len(pt)) ELSE 0 END AS ov,
@@ -67,39 +67,39 @@ m AS (SELECT *, len(evidence) AS n, len(list_filter(evidence, lambda w: NOT list
   CASE WHEN least(len(kk), len(pk)) > 0 THEN len(evidence) / least(len(kk), len(pk)) ELSE 0 END AS ratio FROM ev)"""
 
 
-@query(f"SELECT k_id, p_id, array_to_string(list_sort(evidence), '|') AS evidence, n, d AS n_distinct, round(ov, 6) AS ov, round(jac, 6) AS jac, round(ratio, 6) AS ratio FROM (WITH {NEIGHBOURS} SELECT * FROM m) z")
+@query(f"SELECT k_id, p_id, array_to_string(list_sort(evidence), '|') AS evidence, n, d AS n_distinct, round(ov, 6) AS ov, round(jac, 6) AS jac, round(ratio, 6) AS ratio FROM (WITH {ACCOUNT_PAIRS} SELECT * FROM m) z")
 def r16_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = rules.with_evidence(_neighbours(spark, sf_dir))
+    out = rules.with_evidence(_account_pairs(spark, sf_dir))
     return out.select("k_id", "p_id", F.array_join("evidence", "|").alias("evidence"), "n", "n_distinct", *(F.round(c, 6).alias(c) for c in ("ov", "jac", "ratio")))
 
 
-@query(f"""WITH {NEIGHBOURS} SELECT k_id, p_id, CASE WHEN len(kk) = 0 OR len(pk) = 0 THEN false WHEN n >= 3 THEN CASE WHEN d > 0 THEN ov >= 0.35 OR jac >= 0.22 OR ratio >= 0.45 ELSE ov >= 0.60 OR jac >= 0.30 OR ratio >= 0.55 END
+@query(f"""WITH {ACCOUNT_PAIRS} SELECT k_id, p_id, CASE WHEN len(kk) = 0 OR len(pk) = 0 THEN false WHEN n >= 3 THEN CASE WHEN d > 0 THEN ov >= 0.35 OR jac >= 0.22 OR ratio >= 0.45 ELSE ov >= 0.60 OR jac >= 0.30 OR ratio >= 0.55 END
  WHEN n = 2 THEN ratio >= 0.45 OR d > 0 OR (ov >= 0.55 AND jac >= 0.30) WHEN n = 1 THEN (d > 0 AND ov >= 0.50 AND jac >= 0.25) OR (ov >= 0.65 AND jac >= 0.30) ELSE false END AS by_keywords,
  n >= 2 AND CASE WHEN n >= 3 THEN ov >= 0.35 OR jac >= 0.22 WHEN d > 0 THEN ov >= 0.45 OR jac >= 0.25 ELSE ov >= 0.60 OR jac >= 0.30 END AS in_broad_mode FROM m""")
 def r12_r14_keeps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R12 without category support, and R14."""
-    out = rules.with_evidence(_neighbours(spark, sf_dir)).withColumn("has_support", F.lit(False))
+    out = rules.with_evidence(_account_pairs(spark, sf_dir)).withColumn("has_support", F.lit(False))
     return out.select("k_id", "p_id", rules.keeps_by_keywords().alias("by_keywords"), rules.keeps_in_broad_mode().alias("in_broad_mode"))
 
 
-@query(f"""WITH {NEIGHBOURS}, s AS (SELECT *, n * 70 + d * 35 + CAST(trunc(ov * 100) AS INT) + CAST(trunc(jac * 160) AS INT) + 45 + 35 + CASE WHEN len(kt) > 0 AND kt = pt THEN 140 ELSE 0 END - CASE WHEN n <= 1 AND d = 0 THEN 80 ELSE 0 END - CASE WHEN jac < 0.22 AND ov < 0.50 THEN 60 ELSE 0 END AS score FROM m),
+@query(f"""WITH {ACCOUNT_PAIRS}, s AS (SELECT *, n * 70 + d * 35 + CAST(trunc(ov * 100) AS INT) + CAST(trunc(jac * 160) AS INT) + 45 + 35 + CASE WHEN len(kt) > 0 AND kt = pt THEN 140 ELSE 0 END - CASE WHEN n <= 1 AND d = 0 THEN 80 ELSE 0 END - CASE WHEN jac < 0.22 AND ov < 0.50 THEN 60 ELSE 0 END AS score FROM m),
 t AS (SELECT *, CASE WHEN (len(kt) > 0 AND kt = pt) OR (jac >= 0.75 AND ov >= 0.85) THEN 'exact' WHEN score >= 430 THEN 'strong' WHEN score >= 270 THEN 'medium' ELSE 'weak' END AS tier FROM s)
 SELECT k_id, p_id, CASE WHEN tier = 'weak' AND n = 1 AND ov >= 0.65 AND jac >= 0.33 THEN greatest(score, 270) ELSE score END AS quality_score, CASE WHEN tier = 'weak' AND n = 1 AND ov >= 0.65 AND jac >= 0.33 THEN 'medium' ELSE tier END AS quality_tier, 'category_keywords' AS path FROM t""")
 def r15_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = rules.with_evidence(_neighbours(spark, sf_dir)).withColumn("has_support", F.lit(False))
+    out = rules.with_evidence(_account_pairs(spark, sf_dir)).withColumn("has_support", F.lit(False))
     flags = {"by_category": F.lit(True), "by_keywords": F.lit(True), "by_title": F.lit(False), "mode": F.lit("exact_specific")}
     return rules.with_quality(out.withColumns(flags)).select("k_id", "p_id", "quality_score", "quality_tier", "path")
 
 
-@query(f"WITH {NEIGHBOURS} SELECT k_id, p_id, (km AND pe AND NOT ke) OR (pm AND ke AND NOT pe) AS granularity_conflict FROM m")
+@query(f"WITH {ACCOUNT_PAIRS} SELECT k_id, p_id, (km AND pe AND NOT ke) OR (pm AND ke AND NOT pe) AS granularity_conflict FROM m")
 def r9_granularity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _neighbours(spark, sf_dir).select("k_id", "p_id", rules.granularity_conflict().alias("granularity_conflict"))
+    return _account_pairs(spark, sf_dir).select("k_id", "p_id", rules.granularity_conflict().alias("granularity_conflict"))
 
 
 @query()
 def r1_hard_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1, R4 to R11 and R23 on neighbouring events; the parts have oracles of their own, the order is tested."""
-    pairs = rules.with_evidence(_neighbours(spark, sf_dir))
+    """R1, R4 to R11 and R23 on events of one account; the parts have oracles of their own, the order is tested."""
+    pairs = rules.with_evidence(_account_pairs(spark, sf_dir))
     return pairs.select("k_id", "p_id", rules.hard_reject_reason().alias("reason"), rules.preverify_reject_reason().alias("preverify_reason"))
 
 
@@ -108,8 +108,8 @@ _GRP = r"list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(t
 _DIS = r"list_sort(list_distinct(list_transform(regexp_extract_all(title, '(?i)\b([a-z]{2}-(?:\d{1,2}|al))\b', 1), lambda v: upper(v))))"
 
 
-@query(f"""WITH t AS (SELECT event_id, platform, {_GRP} AS groups, {_DIS} AS districts, string_split({_DIRS}, '|') AS directions FROM v_titles),
-j AS (SELECT k.event_id AS k_id, p.event_id AS p_id, k.groups AS kg, p.groups AS pg, k.districts AS kd, p.districts AS pd, k.directions AS kr, p.directions AS pr FROM t k JOIN t p ON k.platform = 'K' AND p.platform = 'P' AND p.event_id = k.event_id + 1)
+@query(f"""WITH t AS (SELECT event_id, platform, account, {_GRP} AS groups, {_DIS} AS districts, string_split({_DIRS}, '|') AS directions FROM v_titles),
+j AS (SELECT k.event_id AS k_id, p.event_id AS p_id, k.groups AS kg, p.groups AS pg, k.districts AS kd, p.districts AS pd, k.directions AS kr, p.directions AS pr FROM t k JOIN t p ON k.platform = 'K' AND p.platform = 'P' AND p.account = k.account)
 SELECT k_id, p_id, (len(kg) > 0 AND len(pg) > 0 AND len(list_intersect(kg, pg)) = 0) AS groups_conflict, (len(kd) > 0 AND len(pd) > 0 AND len(list_intersect(kd, pd)) = 0) AS districts_conflict,
  (kr <> [''] AND pr <> [''] AND len(list_intersect(kr, pr)) = 0) AS directions_conflict FROM j""")
 def r18_explicit_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +117,7 @@ def r18_explicit_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prof = events.profiles(index(spark, sf_dir), LEXICON)
     k, p = rules.side(prof.where("platform = 'K'"), "k"), rules.side(prof.where("platform = 'P'"), "p")
     has = lambda f: F.array_contains(rules.explicit_conflicts(), f).alias(f"{f}_conflict")
-    return k.join(p, col("p_event_id") == col("k_event_id") + 1).select(col("k_event_id").alias("k_id"), col("p_event_id").alias("p_id"), has("groups"), has("districts"), has("directions"))
+    return k.join(p, col("p_account") == col("k_account")).select(col("k_event_id").alias("k_id"), col("p_event_id").alias("p_id"), has("groups"), has("districts"), has("directions"))
 
 
 @query()
@@ -131,7 +131,7 @@ def x29_event_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = index(spark, sf_dir)
     prof = events.profiles(idx, LEXICON)
-    base = rules.with_evidence(_neighbours(spark, sf_dir))
+    base = rules.with_evidence(_account_pairs(spark, sf_dir))
     flags = {"by_category": F.lit(True), "by_keywords": F.lit(True), "by_title": F.lit(False), "mode": F.lit("exact_specific")}
     pairs = rules.with_quality(base.withColumns(flags)).select("k_id", "p_id", "common_keywords", "quality_score", "quality_tier", "ov", "jac", "n")
     return candidates.semantic_features(pairs, prof, candidates.keyword_statistics(idx))
@@ -139,14 +139,14 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def r17_semantic_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J4, R17 and R18 on neighbouring events."""
+    """J4, R17 and R18 on events of one account."""
     out = _scored(spark, sf_dir)
     return out.select("k_id", "p_id", "rarest_df", "exact_fixture", *(F.array_join(c, "|").alias(c) for c in ("explicit_conflicts", "one_sided", "primary_anchors")), "semantic_score")
 
 
 @query()
 def r19_prune_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of reasons over neighbouring events."""
+    """Counts of reasons over the events of one account."""
     return candidates.prune(_scored(spark, sf_dir)).groupBy("prune_reason").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -25,7 +25,7 @@ SELECT o.o_orderkey AS event_id, CASE WHEN o.o_orderkey % 2 = 0 THEN 'K' ELSE 'P
     WHEN 6 THEN n.n_name || ' presidential election winner ' || CAST(2025 + o.o_orderkey % 3 AS VARCHAR(4))
     ELSE 'Group ' || substr('ABCDEFGH', CAST(o.o_orderkey % 8 + 1 AS INT), 1) || ' champion of the 2025-26 season, less than ' || CAST(o.o_custkey % 9 + 1 AS VARCHAR(4)) || '.50 points'
   END AS title,
-  c.c_mktsegment AS category, n.n_name AS sub_category
+  c.c_mktsegment AS category, n.n_name AS sub_category, o.o_custkey AS account
 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
   JOIN {nation} n2 ON n2.n_nationkey = (c.c_nationkey + o.o_orderkey % 7 + 1) % 25
   JOIN (VALUES (0, 'January'), (1, 'February'), (2, 'March'), (3, 'April'), (4, 'May'), (5, 'June'), (6, 'July'), (7, 'August'), (8, 'Sept.'), (9, 'Oct'), (10, 'November'), (11, 'December')) AS m(m_id, m_name)
@@ -35,7 +35,7 @@ FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n O
 VIEWS["v_listings"] = """
 SELECT o.o_orderkey AS event_id, CASE WHEN o.o_orderkey % 2 = 0 THEN 'K' ELSE 'P' END AS platform,
   'Will Holder' || CAST(o.o_custkey AS VARCHAR(12)) || ' be at Price' || CAST(CAST(floor(o.o_totalprice) AS BIGINT) AS VARCHAR(12)) || '?' AS title,
-  c.c_mktsegment AS category, n.n_name AS sub_category
+  c.c_mktsegment AS category, n.n_name AS sub_category, o.o_custkey AS account
 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey"""
 
 VIEWS["v_book"] = """
