@@ -43,6 +43,7 @@ from xmarket.session import written
 
 WINDOW, PREFIX = 35, 12
 GROUP_LIMIT = 5_000
+HEAVY = 1_000
 _CHUNK_WORDS, _SLICE_WORDS = 1_500_000, 400_000
 _A, _B, _Q = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
@@ -264,10 +265,13 @@ def _level(rows: DataFrame, group_limit: int | None) -> tuple[DataFrame, DataFra
 
     many = held.where("not single").select("anchor", "whole", "key", "first", "n")
     variants = many.groupBy("anchor", "whole", "n").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "first")).alias("one"))
-    variants = written(variants.select("anchor", "whole", "n", (F.col("c") > 1).alias("done"), "one.key", "one.first"), "variants")
-    again = variants.where("done").select("anchor", "whole", "n")
-    # a merge join: a variant that fills much of the corpus is one key, which is split only there
-    whole_many = many.join(again.hint("merge"), ["anchor", "whole", "n"], "left_semi").select("key", "first", "n")
+    variants = written(variants.select("anchor", "whole", "n", "c", (F.col("c") > 1).alias("done"), "one.key", "one.first"), "variants")
+    again, same = variants.where("done"), ["anchor", "whole", "n"]
+    # a variant with over 1/HEAVY of all runs would be one key of a shuffle; there are fewer than HEAVY, so they are broadcast
+    least = (variants.agg(F.sum("c")).first()[0] or 0) / HEAVY
+    heavy = F.broadcast(again.where(F.col("c") > least).select(*same))
+    light = again.where(F.col("c") <= least).select(*same)
+    whole_many = many.join(heavy, same, "left_semi").unionByName(many.join(heavy, same, "left_anti").join(light, same, "left_semi")).select("key", "first", "n")
 
     groups = variants.groupBy("anchor").agg(F.count(F.lit(1)).alias("v"), F.max(~F.col("done")).alias("open")).where("open and v > 1")
     hot = F.lit(False) if group_limit is None else F.col("v") > group_limit
