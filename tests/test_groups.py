@@ -47,3 +47,41 @@ def test_outcome_candidates_equal_all_pairs_and_group_bets(spark):
     for r in got:
         per.setdefault(r.k_bet, set()).add(r.p_bet)
     assert len(per) > 1000 and all(len(v) == 5 for v in per.values()) and len(got) == 5 * len(per)
+
+
+def test_matching_needs_memory_for_edges_only(spark):
+    import tracemalloc
+
+    import numpy as np
+
+    from xmarket.operators import matching
+
+    n = 20_000  # a table of both sides would be 3.2 GB
+    own = np.arange(n) % 4 + 1
+    left, right, weight = np.tile(np.arange(n), 2), np.concatenate((np.zeros(n, int), np.arange(1, n + 1))), np.concatenate((np.full(n, 5.0), own.astype(float)))
+    tracemalloc.start()
+    chosen = matching.best_edges(left, right, weight)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(left[chosen])) == len(set(right[chosen])) == len(chosen) == n and weight[chosen].sum() == own.sum() + 4
+    assert peak < 20e6
+    rows = list(zip(left[:3000:10].tolist(), right[:3000:10].tolist(), weight[:3000:10].tolist(), strict=True)) + [(i, i + 1, float(i % 4 + 1)) for i in range(0, 3000, 10)]
+    got = matching.maximum_weight_matching(spark.createDataFrame(rows + rows[:50], "k_id long, p_id long, weight double")).collect()
+    assert len({r.k_id for r in got}) == len({r.p_id for r in got}) == len(got) == 300 and sum(r.weight for r in got) == sum(i % 4 + 1 for i in range(0, 3000, 10)) + 4
+
+
+def test_matching_of_random_graphs_equals_brute_force():
+    import itertools
+
+    import numpy as np
+
+    from xmarket.operators import matching
+
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        n, m = rng.integers(1, 6, 2)
+        w = np.where(rng.random((n, m)) < rng.random(), rng.random((n, m)) * 9, 0)
+        square = np.zeros((6, 6))
+        square[:n, :m] = w
+        best = max(sum(square[i, p[i]] for i in range(6)) for p in itertools.permutations(range(6)))
+        assert abs(sum(w[a, b] for a, b in matching.best_assignment(w)) - best) < 1e-9

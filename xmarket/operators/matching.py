@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,35 +17,88 @@ col = F.col
 
 
 def best_assignment(weight: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of rows and columns with the highest total of positive weights (Hungarian method with potentials)."""
-    n, m = weight.shape
-    if n > m:
-        return [(a, b) for b, a in best_assignment(weight.T)]
-    cost = np.concatenate((-np.maximum(weight, 0.0), np.zeros((n, n))), axis=1)  # a row may stay alone at no cost
-    total = m + n
-    u, v, owner, way = np.zeros(n + 1), np.zeros(total + 1), np.zeros(total + 1, int), np.zeros(total + 1, int)
-    for row in range(1, n + 1):
-        owner[0], at = row, 0
-        least, seen = np.full(total + 1, np.inf), np.zeros(total + 1, bool)
+    """Pairs of rows and columns with the highest total of positive weights."""
+    a, b = np.nonzero(weight > 0)
+    chosen = best_edges(a, b, weight[a, b].astype(float))
+    return [(int(a[e]), int(b[e])) for e in chosen]
+
+
+def best_edges(left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Positions of the edges of a matching of highest total weight; weights are positive, no edge is repeated.
+
+    Hungarian method with potentials on adjacency lists: each node of the smaller side in turn is the start of a search for the
+    shortest augmenting path, over edges alone.  Memory grows with the edges, not with the product of the sides.
+    """
+    if not len(weight):
+        return np.zeros(0, np.int64)
+    if left.max() > right.max():
+        left, right = right, left
+    n, m = int(left.max()) + 1, int(right.max()) + 1
+    order = np.argsort(left, kind="stable")
+    to, cost = right[order], -weight[order]
+    starts = np.searchsorted(left[order], np.arange(n + 1))
+    # u + v <= cost on all edges, equal on matched ones, v <= 0 and 0 for free columns; u <= 0: a row may stay alone at no cost
+    u, v = np.zeros(n), np.zeros(m)
+    owner, mine = np.full(m, -1, np.int64), np.full(n, -1, np.int64)  # row of a column, edge of a row
+    least, via = np.full(m, np.inf), np.zeros(m, np.int64)  # of the search: distance of a column, edge it was reached by
+    done = np.zeros(m, bool)
+    for root in range(n):
+        row, base, heap, reached, scanned = root, 0.0, [], [], []
+        alone, end = np.inf, -1  # the best row to leave alone
+        first, last = starts[root], starts[root + 1]
+        u[root] = min(0.0, float((cost[first:last] - v[to[first:last]]).min(initial=0.0)))
         while True:
-            seen[at] = True
-            reduced = cost[owner[at] - 1] - u[owner[at]] - v[1:]
-            free = ~seen[1:]
-            better = free & (reduced < least[1:])
-            least[1:][better] = reduced[better]
-            way[1:][better] = at
-            nxt = int(np.where(free, least[1:], np.inf).argmin()) + 1
-            step = least[nxt]
-            u[owner[seen]] += step
-            v[seen] -= step
-            least[~seen] -= step
-            at = nxt
-            if owner[at] == 0:
+            scanned.append((row, base))
+            if base - u[row] < alone:  # leaving this row alone ends the path
+                alone, end = base - u[row], row
+            first, last = starts[row], starts[row + 1]
+            at = to[first:last]
+            far = base + (cost[first:last] - u[row] - v[at])
+            near = np.flatnonzero((far < least[at]) & (far < alone) & ~done[at])
+            if len(near):
+                found = at[near]
+                least[found], via[found] = far[near], near + first
+                reached.append(found)
+                free = owner[found] < 0
+                if free.any():  # of the free columns only the nearest can end the path
+                    best = int(far[near][free].argmin())
+                    heapq.heappush(heap, (float(far[near][free][best]), -1, int(found[free][best])))
+                for d, c in zip(far[near][~free].tolist(), found[~free].tolist(), strict=True):
+                    heapq.heappush(heap, (d, 0, c))
+            while heap and (done[heap[0][2]] or heap[0][0] > least[heap[0][2]]):
+                heapq.heappop(heap)
+            if not heap or heap[0][0] >= alone:
+                total, column = alone, -1
+                break
+            base, _, column = heapq.heappop(heap)
+            if owner[column] < 0:
+                total = base
+                break
+            done[column] = True
+            row = int(owner[column])
+        for r, d in scanned:
+            u[r] += total - d
+        touched = np.concatenate(reached) if reached else np.zeros(0, np.int64)
+        closed = touched[done[touched]]
+        closed = np.unique(closed)
+        v[closed] -= total - least[closed]
+        if column >= 0:
+            at_row, edge = -1, via[column]
+        else:
+            at_row, edge = end, mine[end]
+            mine[end] = -1
+            if edge >= 0:  # its column goes to the row that reached it
+                column = int(to[edge])
+                edge = via[column]
+        while column >= 0:
+            row = int(np.searchsorted(starts, edge, side="right")) - 1
+            before, mine[row], owner[column] = mine[row], edge, row
+            if row == root:
                 break
-        while at:
-            owner[at] = owner[way[at]]
-            at = way[at]
-    return [(owner[j] - 1, j - 1) for j in range(1, m + 1) if owner[j] and weight[owner[j] - 1, j - 1] > 0]
+            column = int(to[before])
+            edge = via[column]
+        least[touched], done[touched] = np.inf, False
+    return order[mine[mine >= 0]]
 
 
 def maximum_weight_matching(edges: DataFrame, k: str = "k_id", p: str = "p_id", weight: str = "weight") -> DataFrame:
@@ -55,14 +111,13 @@ def maximum_weight_matching(edges: DataFrame, k: str = "k_id", p: str = "p_id",
     parts = connected_components(named)
     grouped = named.join(parts, named.src == parts.node).select("component", "k_id", "p_id", "weight")
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        ks, ps = sorted(pdf["k_id"].unique()), sorted(pdf["p_id"].unique())
-        table = np.zeros((len(ks), len(ps)))
-        table[pdf["k_id"].map({x: i for i, x in enumerate(ks)}), pdf["p_id"].map({x: i for i, x in enumerate(ps)})] = pdf["weight"]
-        rows = [(ks[a], ps[b], table[a, b]) for a, b in best_assignment(table)]
-        return pd.DataFrame(rows, columns=["k_id", "p_id", "weight"])
+    def solve(edges: pa.Table) -> pa.Table:
+        edges = edges.select(["k_id", "p_id", "weight"])
+        ends = [pc.rank(edges[side], tiebreaker="dense").to_numpy().astype(np.int64) - 1 for side in ("k_id", "p_id")]
+        order = np.lexsort((ends[1], ends[0]))  # the same matching whatever the order of the rows
+        return edges.take(order[best_edges(ends[0][order], ends[1][order], edges["weight"].to_numpy()[order])])
 
-    return grouped.groupBy("component").applyInPandas(solve, "k_id string, p_id string, weight double")
+    return grouped.groupBy("component").applyInArrow(solve, "k_id string, p_id string, weight double")
 
 
 STAGE_BONUS = {"review": 300, "detail": 200, "frontier": 200, "tiebreak": 300, "cheap": 0, "legacy": 100}
