@@ -85,3 +85,34 @@ def test_matching_of_random_graphs_equals_brute_force():
         square[:n, :m] = w
         best = max(sum(square[i, p[i]] for i in range(6)) for p in itertools.permutations(range(6)))
         assert abs(sum(w[a, b] for a, b in matching.best_assignment(w)) - best) < 1e-9
+
+
+def test_nearest_outcomes_equal_a_scan(spark):
+    rng = random.Random(5)
+    ks = [(i // 2, f"o{rng.randint(0, 2)}", rng.randint(1, 40)) for i in range(120)] + [(900, "o1", None), (901, None, 3)]
+    ps = [(rng.randint(0, 150), f"o{rng.randint(0, 2)}", rng.randint(1, 40)) for _ in range(200)] + [(151, "o1", None)]
+    want = []
+    for bet in {k[0] for k in ks}:
+        found = sorted((abs(s - t), p) for b, o, s in ks for p, q, t in ps if b == bet and o == q and o and s is not None and t is not None and abs(s - t) <= 3)
+        want += [(bet, p, gap, i + 1) for i, (gap, p) in enumerate(found[:4])]
+    k, p = spark.createDataFrame(ks, "k_bet long, outcome_key string, ks int"), spark.createDataFrame(ps, "p_bet long, outcome_key string, ps int")
+    got = outcomes.nearest_outcomes(k, p, 3, 4)
+    assert got.dtypes == [("k_bet", "bigint"), ("p_bet", "bigint"), ("gap", "int"), ("rn", "int")]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def _parts(path, n: int) -> str:
+    """n parts of one type, size and two brands: every K bet joins every P bet."""
+    import pandas as pd
+
+    pd.DataFrame({"p_partkey": range(n), "p_name": "x", "p_brand": [f"Brand#{i // 2 % 2}" for i in range(n)], "p_type": "TIN", "p_size": 7, "p_retailprice": 1.0}).astype({"p_size": "int32"}).to_parquet(path / "part.parquet")
+    return str(path)
+
+
+def test_best_five_of_a_hot_key(spark, tmp_path):
+    from xmarket import catalogue
+
+    n, began = 60_000, time.time()
+    got = catalogue.queries()["j3_w2_outcome_join"](spark, _parts(tmp_path, n)).collect()
+    assert time.time() - began < 40  # 900 million pairs
+    assert len(got) == 5 * n // 2 and all((r.p_bet, r.gap) == (2 * r.rn - 1, 0) for r in got)

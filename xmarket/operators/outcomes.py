@@ -375,6 +375,20 @@ def top_candidates(df: DataFrame, keys: list[str], order: list[Column], n: int =
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(col("rn") <= n)
 
 
+def nearest_outcomes(k: DataFrame, p: DataFrame, bound: int, n: int = 5) -> DataFrame:
+    """Per K bet the first n P bets of its outcome key by (gap, P bet), gaps of whole sizes up to bound: (k_bet, p_bet, gap, rn).
+
+    k has k_bet, outcome_key, ks; p has p_bet, outcome_key, ps.  P bets of one key and size have one gap to any K bet, so only their
+    first n can be chosen, and K bets of one key and size choose alike: the join is between sizes, not between bets.
+    """
+    first = top_candidates(p.where("ps is not null"), ["outcome_key", "ps"], [F.asc("p_bet")], n).withColumn("_at", col("ps").cast("long")).drop("rn")
+    sizes = k.where("ks is not null").select("outcome_key", "ks").distinct()
+    size = col("ks").cast("long")
+    near = sizes.withColumn("_at", F.explode(F.sequence(size - F.lit(bound), size + F.lit(bound)))).join(first, ["outcome_key", "_at"]).withColumn("gap", F.abs(col("ks") - col("ps")))
+    best = top_candidates(near, ["outcome_key", "ks"], [F.asc("gap"), F.asc("p_bet")], n).select("outcome_key", "ks", "gap", "p_bet")
+    return top_candidates(k.join(best, ["outcome_key", "ks"]), ["k_bet"], [F.asc("gap"), F.asc("p_bet")], n).select("k_bet", "p_bet", "gap", "rn")
+
+
 def bundles(pairs: DataFrame, member_order: list[str], type_col: str = "candidate_type") -> DataFrame:
     """One row per (type, K event, P event) with its sorted members and a stable id."""
     others = [c for c in pairs.columns if c not in {type_col, "k_event", "p_event", *member_order}]

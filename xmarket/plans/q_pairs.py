@@ -164,13 +164,12 @@ def w1_reciprocal_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 j AS (SELECT k.bet_id AS k_bet, p.bet_id AS p_bet, abs(k.size_no - p.size_no) AS gap, row_number() OVER (PARTITION BY k.bet_id ORDER BY abs(k.size_no - p.size_no), p.bet_id) AS rn FROM k JOIN p ON k.outcome_key = p.outcome_key AND abs(k.size_no - p.size_no) <= 10)
 SELECT k_bet, p_bet, gap, rn FROM j WHERE rn <= 5""")
 def j3_w2_outcome_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The outcome key joins, a residual condition filters, the best five per K bet stay."""
-    from xmarket.operators.outcomes import top_candidates
+    """The outcome key joins, gaps are bounded, the best five per K bet stay."""
+    from xmarket.operators.outcomes import nearest_outcomes
 
     o = view(spark, sf_dir, "v_outcomes")
     k, p = o.where("venue = 'K'").select(col("bet_id").alias("k_bet"), "outcome_key", col("size_no").alias("ks")), o.where("venue = 'P'").select(col("bet_id").alias("p_bet"), "outcome_key", col("size_no").alias("ps"))
-    joined = k.join(p, "outcome_key").withColumn("gap", F.abs(col("ks") - col("ps"))).where("gap <= 10")
-    return top_candidates(joined, ["k_bet"], [F.asc("gap"), F.asc("p_bet")], 5).select("k_bet", "p_bet", "gap", "rn")
+    return nearest_outcomes(k, p, 10, 5)
 
 
 @query("""WITH o AS (SELECT *, count(DISTINCT outcome_key) OVER (PARTITION BY event_id, venue) AS subjects FROM v_outcomes) SELECT bet_id, subjects, subjects > 1 AS multi FROM o""")
