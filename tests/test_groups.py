@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import time
 
@@ -116,3 +117,34 @@ def test_best_five_of_a_hot_key(spark, tmp_path):
     got = catalogue.queries()["j3_w2_outcome_join"](spark, _parts(tmp_path, n)).collect()
     assert time.time() - began < 40  # 900 million pairs
     assert len(got) == 5 * n // 2 and all((r.p_bet, r.gap) == (2 * r.rn - 1, 0) for r in got)
+
+
+def test_joined_bundles_equal_a_scan(spark):
+    rng = random.Random(6)
+    ks = [(f"E{rng.randint(0, 3)}", rng.randint(0, 60), f"o{rng.randint(0, 2)}") for _ in range(90)]  # some bets stand there twice
+    ps = [(f"F{rng.randint(0, 3)}", rng.randint(0, 60), f"o{rng.randint(0, 2)}") for _ in range(90)]
+    members = {}
+    for e, a, o in ks:
+        for f, b, q in ps:
+            if o == q:
+                members.setdefault((e, f), []).append((a, b))
+    k, p = spark.createDataFrame(ks, "k_event string, k_bet int, on string"), spark.createDataFrame(ps, "p_event string, p_bet int, on string")
+    got = outcomes.joined_bundles(k, p, ["on"], "bet").collect()
+    assert {(r.k_event, r.p_event): (r.n, r.first_k, r.members) for r in got} == {x: (len(m), min(m)[0], ",".join(str(b) for _, b in sorted(m))) for x, m in members.items()}
+    pairs = k.join(p, "on").withColumn("candidate_type", F.lit("bet"))
+    want = outcomes.bundles(pairs, ["k_bet", "p_bet"]).collect()
+    assert {(r.bundle_id, r.k_event, r.p_event, r.n) for r in got} == {(r.bundle_id, r.k_event, r.p_event, r["size"]) for r in want} and len(got) == len(want)
+
+
+def test_bundles_of_a_hot_key(spark, tmp_path):
+    from xmarket import catalogue
+
+    n, began = 16_000, time.time()
+    out = catalogue.queries()["g7_bundles"](spark, _parts(tmp_path, n))
+    got = out.select("k_event", "p_event", "n", "first_k", F.sha2("members", 256).alias("h"), F.length("members").alias("size")).collect()
+    assert time.time() - began < 30  # 64 million pairs
+    per = n // 4
+    assert len(got) == 4 and all(r.n == per * per for r in got)
+    for r in got:
+        text = ",".join(str(i) for i in range(1, n, 2) if f"Brand#{i // 2 % 2}" == r.p_event)
+        assert r["size"] == per * (len(text) + 1) - 1 and r.h == hashlib.sha256(",".join([text] * per).encode()).hexdigest()

@@ -389,6 +389,36 @@ def nearest_outcomes(k: DataFrame, p: DataFrame, bound: int, n: int = 5) -> Data
     return top_candidates(k.join(best, ["outcome_key", "ks"]), ["k_bet"], [F.asc("gap"), F.asc("p_bet")], n).select("k_bet", "p_bet", "gap", "rn")
 
 
+BUNDLE_BYTES = 32 << 20  # of text that a task makes, about
+
+
+def joined_bundles(k: DataFrame, p: DataFrame, on: list[str], kind: str) -> DataFrame:
+    """G7 of the pairs that join on columns: (bundle_id, k_event, p_event, n, first_k, members: the P bets by K bet and P bet).
+
+    k has k_event, k_bet and the columns, p has p_event, p_bet and the columns.  The P bets that a K bet has in an event are one
+    text, made once for all K bets that join them, so what is shuffled is groups of bets, not pairs.
+    """
+    once = Window.partitionBy("k_event", "k_bet")
+    k = k.withColumn("_n", F.count(F.lit(1)).over(once))
+    texts = p.groupBy("p_event", *on).agg(F.sort_array(F.collect_list("p_bet")).alias("_ps"))
+    texts = texts.select("p_event", *on, F.size("_ps").alias("_size"), F.array_join(F.transform("_ps", lambda b: b.cast("string")), ",").alias("_text"))
+    groups = k.where("_n = 1").groupBy("k_event", *on).agg(F.collect_list("k_bet").alias("_ks")).join(texts, on)
+    groups = groups.select("k_event", "p_event", "_ks", (F.size("_ks") * col("_size")).cast("long").alias("_pairs"), F.lit(None).cast(p.schema["p_bet"].dataType).alias("_p"), "_text")
+    # K bets that an event has more than once: their P bets stand in one order over all of their rows
+    again = k.where("_n > 1").join(p, on).select("k_event", "p_event", F.array("k_bet").alias("_ks"), F.lit(1).cast("long").alias("_pairs"), col("p_bet").alias("_p"), col("p_bet").cast("string").alias("_text"))
+    parts = written(groups.unionByName(again), "bundle_parts")
+    out_bytes = parts.agg(F.coalesce(F.sum(F.size("_ks") * (F.length("_text") + 1).cast("long")), F.lit(0))).first()[0]
+    # a bundle's text can have megabytes, and Parquet holds a hundred rows before it looks at their size: few bundles a task
+    parts = parts.repartition(max(_tasks(k), -(-out_bytes // BUNDLE_BYTES)), "k_event", "p_event")
+    found = parts.groupBy("k_event", "p_event").agg(F.sum("_pairs").alias("n"), F.collect_list(F.struct("_ks", "_p", "_text")).alias("_members"))
+    entries = F.flatten(F.transform("_members", lambda m: F.transform(m["_ks"], lambda b: F.struct(b.alias("k"), m["_p"].alias("p"), m["_text"].alias("text")))))
+    found = found.select("k_event", "p_event", "n", F.sort_array(entries).alias("_members"))
+    key = F.concat_ws("|", F.lit(kind), "k_event", "p_event")
+    return found.select(
+        F.substring(F.sha2(key, 256), 1, 20).alias("bundle_id"), "k_event", "p_event", "n", col("_members")[0]["k"].alias("first_k"), F.array_join(F.transform("_members", lambda m: m["text"]), ",").alias("members")
+    )
+
+
 def bundles(pairs: DataFrame, member_order: list[str], type_col: str = "candidate_type") -> DataFrame:
     """One row per (type, K event, P event) with its sorted members and a stable id."""
     others = [c for c in pairs.columns if c not in {type_col, "k_event", "p_event", *member_order}]

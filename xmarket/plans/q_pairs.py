@@ -182,13 +182,12 @@ def g5_multi_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT left(sha256('bet|' || k_event || '|' || p_event), 20) AS bundle_id, k_event, p_event, count(*) AS n, min(k_bet) AS first_k, string_agg(p_bet, ',' ORDER BY k_bet, p_bet) AS members
 FROM (SELECT k.event_id AS k_event, p.event_id AS p_event, k.bet_id AS k_bet, p.bet_id AS p_bet FROM v_outcomes k JOIN v_outcomes p ON k.venue = 'K' AND p.venue = 'P' AND k.outcome_key = p.outcome_key AND k.size_no = p.size_no) x GROUP BY k_event, p_event""")
 def g7_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from xmarket.operators.outcomes import bundles
+    from xmarket.operators.outcomes import joined_bundles
 
     o = view(spark, sf_dir, "v_outcomes")
-    k, p = o.where("venue = 'K'"), o.where("venue = 'P'")
-    pairs = k.select(col("event_id").alias("k_event"), col("bet_id").alias("k_bet"), "outcome_key", "size_no").join(p.select(col("event_id").alias("p_event"), col("bet_id").alias("p_bet"), "outcome_key", "size_no"), ["outcome_key", "size_no"])
-    out = bundles(pairs.withColumn("candidate_type", F.lit("bet")), ["k_bet", "p_bet"])
-    return out.select("bundle_id", "k_event", "p_event", col("size").alias("n"), col("members")[0]["k_bet"].alias("first_k"), F.array_join(F.transform("members", lambda m: m["p_bet"].cast("string")), ",").alias("members"))
+    k = o.where("venue = 'K'").select(col("event_id").alias("k_event"), col("bet_id").alias("k_bet"), "outcome_key", "size_no")
+    p = o.where("venue = 'P'").select(col("event_id").alias("p_event"), col("bet_id").alias("p_bet"), "outcome_key", "size_no")
+    return joined_bundles(k, p, ["outcome_key", "size_no"], "bet")
 
 
 @query("SELECT CASE WHEN size_no > 40 THEN 'large' ELSE 'small' END AS candidate_type, count(*) AS n FROM v_outcomes GROUP BY ALL")
