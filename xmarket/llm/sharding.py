@@ -22,10 +22,11 @@ gives an empty result.
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 from pyspark.sql.window import Window
 
 from xmarket.session import written
@@ -34,13 +35,11 @@ RANGES, SAMPLE, HEAVY, PART_ROWS = 1024, 16_384, 256, 1_000_000
 _MAX = (1 << 63) - 1
 
 
-def _literal(rows: list, kind: str) -> Column:
-    """A constant array from one literal."""
-    return F.from_json(F.lit(json.dumps(rows)), F.lit(kind))
-
-
 def _small(df: DataFrame, rows: list[dict], kind: str) -> DataFrame:
-    return df.sparkSession.range(1).select(F.inline(_literal(rows, f"array<struct<{kind}>>")))
+    """Rows as a local table: a literal would be written out in every plan that reads it, and in every event of the plan."""
+    names = [field.split(":")[0] for field in kind.split(",")]
+    table = pa.table({name: [r[name] for r in rows] for name in names}, schema=to_arrow_schema(_parse_datatype_string(kind)))
+    return df.sparkSession.createDataFrame(table, kind)
 
 
 def _place(df: DataFrame, key: str, bounds: list[int]) -> DataFrame:
@@ -48,14 +47,15 @@ def _place(df: DataFrame, key: str, bounds: list[int]) -> DataFrame:
     if not bounds:
         return df.withColumn("range", F.lit(0))
     size = 1 << len(bounds).bit_length()
-    padded = _literal(bounds + [_MAX] * (size - len(bounds)), "array<bigint>")
-    df, step = df.withColumn("range", F.lit(0)), size // 2
+    padded = _small(df, [{"bounds": bounds + [_MAX] * (size - len(bounds))}], "bounds:array<bigint>")
+    names = df.columns
+    df, step = df.crossJoin(F.broadcast(padded)).withColumn("range", F.lit(0)), size // 2
     while step:
         at = F.col("range") + F.lit(step)
-        inside = (at <= F.lit(len(bounds))) & (F.col(key) >= F.element_at(padded, at))
+        inside = (at <= F.lit(len(bounds))) & (F.col(key) >= F.element_at("bounds", at))
         df = df.withColumn("range", F.col("range") + F.when(inside, F.lit(step)).otherwise(F.lit(0)))
         step //= 2
-    return df
+    return df.select(*names, "range")
 
 
 def _homes(groups: dict[int, int], total: int, shards: int) -> tuple[dict[int, int], list[int]]:
