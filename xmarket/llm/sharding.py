@@ -93,7 +93,7 @@ def shard(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str
 
     own = {b: i + 1 for i, b in enumerate(bounds)}
     home_of = {own[k]: homes.get(k, -1) for k in heavy}
-    ranged = _place(base, "key", bounds)
+    ranged = written(_place(base, "key", bounds), "ranges")  # later plans are without the steps of the search
     counts = {r["range"]: r["rows"] for r in ranged.groupBy("range").agg(F.count(F.lit(1)).alias("rows")).collect()}  # one row a range
     target = min(PART_ROWS, 1 + whole["rows"] // RANGES)
     plan = [{"range": r, "parts": 1 + (n // target if n > 2 * target else 0), "heavy": r in home_of, "home": home_of.get(r, -1)} for r, n in sorted(counts.items())]
