@@ -13,3 +13,23 @@ def test_shard_plans_hold_no_tables(spark):
     assert len(out._jdf.queryExecution().toString()) < 100_000  # 5 million with bounds and parts as literals
     rows = out.collect()
     assert len(rows) == 5000 and {(r.shard, r.slot) for r in rows} == {(s, i) for s in range(8) for i in range(sum(r.shard == s for r in rows))}
+
+
+def test_a_worker_drops_the_caches_of_earlier_stages():
+    import public_tokenizers
+
+    from xmarket.llm import words
+    from xmarket.llm.language_id import Model
+    from xmarket.llm.packing import ChunkEncoder
+
+    encoder, model = ChunkEncoder(public_tokenizers.path("word_bpe_49k.json")), Model(["en"], ["a"], [[0.0]], floor=(0.0,))
+    words.using(encoder, encoder.forget)
+    first = encoder.encode_batch(["some words, and more"], 1)
+    words.using(encoder, encoder.forget)
+    assert encoder._chunks and encoder._pretokens  # kept from task to task of one stage
+    words.using(model, model._reset)
+    assert not encoder._chunks and not encoder._pretokens
+    model.predict("an unknown word")
+    assert len(model._rows) > 1
+    words.using(None)
+    assert len(model._rows) == 1 and encoder.encode_batch(["some words, and more"], 1) == first

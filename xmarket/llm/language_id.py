@@ -197,7 +197,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         labels, scores = sent.value.predict_all(batch.column(1).to_pylist())
         return pa.record_batch([batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "lang_pred", "score"])
 
-    return map_arrow(df.select(id_col, text_col), run, f"`{id_col}` {kind}, lang_pred string, score double")
+    return map_arrow(df.select(id_col, text_col), run, f"`{id_col}` {kind}, lang_pred string, score double", lambda: (sent.value, sent.value._reset))
 
 
 def keep_known(df: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -209,7 +209,7 @@ def keep_known(df: DataFrame, model: Model, min_score: float = 0.5, text_col: st
         labels, scores = sent.value.predict_all(batch.column(at).to_pylist())
         return batch.filter(pa.array([lang != UNDECIDED and score >= min_score for lang, score in zip(labels, scores, strict=True)], pa.bool_()))
 
-    return map_arrow(df, run, df.schema)
+    return map_arrow(df, run, df.schema, lambda: (sent.value, sent.value._reset))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xmarket.llm.bpe import byte_alphabet
-from xmarket.llm.words import slices
+from xmarket.llm.words import slices, using
 from xmarket.session import written
 
 END_ID, WINDOW = 1, 2048
@@ -98,6 +98,10 @@ class ChunkEncoder:
             return of[text[:-1]] + of[text[-1]]
         return b"".join([of[p] for p in _PRETOKEN.findall(text)])
 
+    def forget(self) -> None:
+        """Empty the caches."""
+        self._pretokens, self._chunks = _Memo(self._pretoken), _Memo(self._chunk)
+
     def encode_batch(self, texts: list[str | None], end: int) -> list[bytes]:
         """Little-endian ids (dtype) of each text, the end id last."""
         self._chunks.age()
@@ -147,6 +151,7 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, orders = encoder(path), term_orders(vocabulary)
+        using(own, own.forget)
         row, counts = TaskContext.get().partitionId() << 40, np.zeros(vocabulary, np.int64)
         seen = np.zeros((64, vocabulary), np.uint8)
         kind_of_id = None
@@ -319,6 +324,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using(None)
         first, held, docs, size = TaskContext.get().partitionId() << 40, [], [], 0
         for batch in batches:
             start = 0

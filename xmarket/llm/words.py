@@ -24,6 +24,19 @@ def hexdigest(data: bytes) -> str:
 
 SLICE_BYTES = 4 << 20
 
+_caches: dict[int, tuple[object, Callable[[], None]]] = {}  # in this worker: what holds caches, and how to empty them
+
+
+def using(holder: object | None, empty: Callable[[], None] | None = None) -> None:
+    """Empty the caches of every other holder: a worker goes from stage to stage, and what an earlier one looked up is of no use to the next."""
+    for key, (other, forget) in list(_caches.items()):
+        if other is not holder:
+            del _caches[key]
+            forget()
+            pa.default_memory_pool().release_unused()
+    if holder is not None:
+        _caches[id(holder)] = (holder, empty)
+
 
 def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about `size` bytes, so that long texts don't become Python objects all at once."""
@@ -32,10 +45,11 @@ def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.Record
         yield batch.slice(at, step)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply fn to slices of the Arrow batches of df.  Rows stay in their partition; nothing is shuffled."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, caches: Callable[[], tuple] | None = None) -> DataFrame:
+    """Apply fn to slices of the Arrow batches of df.  Rows stay in their partition; nothing is shuffled.  caches: what using() gets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using(*caches() if caches else (None,))
         for batch in batches:
             for part in slices(batch):
                 out = fn(part)
