@@ -33,3 +33,19 @@ def test_a_worker_drops_the_caches_of_earlier_stages():
     assert len(model._rows) > 1
     words.using(None)
     assert len(model._rows) == 1 and encoder.encode_batch(["some words, and more"], 1) == first
+
+
+def test_documents_per_id_count_each_document_once(spark):
+    import numpy as np
+    import public_tokenizers
+
+    from xmarket.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [None, "", *(" ".join(f"word {i % 7} word" for _ in range(i % 5 + 1)) for i in range(300))]
+    rows = packing.tokenize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), path).collect()
+    got = sum(np.frombuffer(r.counts, np.int64) for r in rows if r.counts is not None)
+    want = np.zeros(len(got), np.int64)
+    for ids in packing.encoder(path).encode_batch(texts, packing.END_ID):
+        want[list(set(np.frombuffer(ids, packing.encoder(path).dtype).tolist()))] += 1
+    assert (got == want).all() and got[packing.END_ID] == len(texts)

@@ -153,7 +153,6 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         own, orders = encoder(path), term_orders(vocabulary)
         using(own, own.forget)
         row, counts = TaskContext.get().partitionId() << 40, np.zeros(vocabulary, np.int64)
-        seen = np.zeros((64, vocabulary), np.uint8)
         kind_of_id = None
         for batch in batches:
             kind_of_id = batch.schema.field(0).type
@@ -162,11 +161,8 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 sizes = np.array([len(x) // width for x in ids], np.int64)
                 flat, ends = np.frombuffer(b"".join(ids), own.dtype), np.cumsum(sizes)
                 terms = [np.minimum.reduceat(order[flat], ends - sizes) for order in orders]
-                for at in range(0, len(ids), 64):  # a document counts once for each of its ids
-                    own_sizes = sizes[at : at + 64]
-                    seen[:] = 0
-                    seen[np.repeat(np.arange(len(own_sizes)), own_sizes), flat[ends[at] - sizes[at] : ends[at + len(own_sizes) - 1]]] = 1
-                    counts += np.add.reduce(seen, axis=0, dtype=np.uint8)
+                for at, to in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+                    counts[flat[at:to]] += 1  # a document counts once for each of its ids: a repeated index adds once
                 rows = np.arange(row, row + len(ids))
                 row += len(ids)
                 yield pa.record_batch([part.column(0), pa.array(ids, pa.binary()), pa.array(sizes), pa.array(rows), *map(pa.array, terms), pa.nulls(len(ids), pa.binary())], names=names)
