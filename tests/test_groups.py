@@ -50,6 +50,16 @@ def test_outcome_candidates_equal_all_pairs_and_group_bets(spark):
     assert len(per) > 1000 and all(len(v) == 5 for v in per.values()) and len(got) == 5 * len(per)
 
 
+def test_outcome_patterns_run_once_a_text_and_keys_are_divided(spark, monkeypatch):
+    seen, scopes = [], outcomes.with_scope_terms
+    monkeypatch.setattr(outcomes, "with_scope_terms", lambda df, *a, **b: (seen.append(df.count()), scopes(df, *a, **b))[1])
+    k, p = _profiles(spark, "K", 60, 4), _profiles(spark, "P", 60, 4)
+    assert len(seen) == 2 and max(seen) <= len(TITLES)  # not 60 rows
+    monkeypatch.setattr(outcomes, "PAIRS_A_TASK", 3)
+    got = outcomes.outcome_candidates(k, p, 3).collect()
+    assert got and {(r.k_bet, -r.match_score, r.p_bet, r.outcome_key, "|".join(r.shared_market_keywords)) for r in got} == _plainly(k, p, 3)
+
+
 def test_matching_needs_memory_for_edges_only(spark):
     import tracemalloc
 

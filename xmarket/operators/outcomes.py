@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -179,35 +182,61 @@ def context_scope_terms(event_id: Column, category_: Column, sub_category: Colum
     return F.array_sort(F.array_distinct(F.concat(competitions, marks, F.array_compact(F.array(*(F.when(t, F.lit(v)) for t, v in rest))))))
 
 
+def _once(df: DataFrame, keys: list[str], make, table: str) -> DataFrame:
+    """df with the columns that make() adds to keys, which hold no nulls: made once for each of their values, however many rows have it."""
+    return df.join(written(make(df.select(*keys).distinct().repartition(_tasks(df))), table), keys)
+
+
 def outcome_profiles(rows: DataFrame, venue: str) -> DataFrame:
     """Outcome profiles of market rows of a venue (columns as in operators.sync): subject, key, intent, scopes, deadline.
 
-    Rows of the No side and rows without a subject are left out; one pass, then a count of subjects per event.
+    Rows of the No side and rows without a subject are left out.  The hundreds of patterns run on distinct texts, which are far fewer than rows:
+    bet titles, market titles, intents and texts with dates each for themselves.  Last is a count of subjects per event.
     """
     c = lambda name: F.col(f"`{name}`") if name in rows.columns else F.lit("")
-    rows = rows.repartition(_tasks(rows))  # hundreds of patterns a row: small files are too few tasks
     base = rows.where(~drops_no_side(c("Outcome_Name"), c("Bet Title"))) if venue == "P" else rows
+    texts = F.array(*(safe_text(c(n)) for n in ("Bet_Rules", "Event_Description", "Description", "Bet Title", "Market Title")))
     base = base.select(
         F.lit(venue).alias("platform"), safe_text(c("Event ID")).alias("event_id"), safe_text(c("Bet ID")).alias("bet_id"), safe_text(c("Original_Market_ID")).alias("original_market_id"),
         safe_text(c("Market Title")).alias("market_title"), safe_text(c("Bet Title")).alias("bet_title"), label(c("Category")).alias("category"), label(c("Sub-Category")).alias("sub_category"),
         (F.coalesce(F.nullif(safe_text(c("Outcome_Name")), F.lit("")), F.lit("Yes")) if venue == "P" else F.lit("Yes")).alias("outcome_name"),
-        F.array(*(safe_text(c(n)) for n in ("Bet_Rules", "Event_Description", "Description", "Bet Title", "Market Title"))).alias("_texts"),
+        F.transform(texts, lambda t: F.when(t.contains("20"), t).otherwise(F.lit(""))).alias("_texts"),  # without a year of this century a text has no deadline
     )
-    # one column a step: each phrase is folded and spelled once, and later steps only read it
-    base = base.withColumn("_own", strip_outcome_suffix(col("bet_title"))[0] if venue == "P" else col("bet_title"))
-    base = base.withColumns({"_own_p": phrase(col("_own")), "_market_p": phrase(col("market_title")), "_title": ascii_fold(col("market_title"))})
-    base = with_subject_from_title(base, "_title", "_asked_for")
-    base = base.withColumn("_generic", (col("_own_p") == col("_market_p")) | _is_generic(col("_own_p")))
-    base = base.withColumn("outcome_subject", F.when(~col("_generic"), col("_own")).otherwise(col("_asked_for")))
-    base = base.withColumn("subject_source", F.when(~col("_generic"), "bet_title").when(col("_asked_for") != "", "market_title").otherwise(""))
-    base = base.withColumn("outcome_key", F.when(~col("_generic"), col("_own_p")).otherwise(_spelled(col("_asked_for"))))
-    # a table here: a filter on the key would otherwise be pushed down with all that the key is made of written into it
-    base = written(base.drop("_own", "_own_p", "_title", "_asked_for", "_generic"), "subjects").where(~_is_generic(col("outcome_key")))
-    base = base.withColumn("market_intent", intent_without_subject(col("_market_p"), col("outcome_key")))
-    base = base.withColumn("_phrase", _spelled(col("market_intent")))
-    base = base.withColumn("market_keywords", tokens(col("_phrase"))).withColumn("actor", actor_key(col("_market_p"))).withColumn("event_years", event_years(col("market_title"))).drop("_market_p")
-    base = with_scope_terms(base, "_phrase", "_asked").withColumn("_context", context_scope_terms(col("event_id"), col("category"), col("sub_category")))
-    base = base.withColumn("scope_terms", F.array_sort(F.array_union("_asked", "_context"))).withColumn("deadline", extract_deadline(col("_texts"))).drop("_texts", "_asked", "_context", "_phrase")
+    base = written(base, "rows")
+
+    def of_bets(t: DataFrame) -> DataFrame:
+        own = strip_outcome_suffix(col("bet_title"))[0] if venue == "P" else col("bet_title")
+        return t.withColumn("_own", own).withColumn("_own_p", phrase(col("_own"))).withColumn("_own_generic", _is_generic(col("_own_p")))
+
+    def of_markets(t: DataFrame) -> DataFrame:
+        t = t.withColumns({"_market_p": phrase(col("market_title")), "_title": ascii_fold(col("market_title"))})
+        t = with_subject_from_title(t, "_title", "_asked_for").drop("_title")
+        t = t.withColumn("_asked_p", _spelled(col("_asked_for"))).withColumn("_asked_generic", _is_generic(col("_asked_p")))
+        return t.withColumn("actor", actor_key(col("_market_p"))).withColumn("event_years", event_years(col("market_title")))
+
+    def of_intents(t: DataFrame) -> DataFrame:
+        t = t.withColumn("market_intent", intent_without_subject(col("_market_p"), col("_shown"))).withColumn("_phrase", _spelled(col("market_intent")))
+        return with_scope_terms(t.withColumn("market_keywords", tokens(col("_phrase"))), "_phrase", "_asked").drop("_phrase")
+
+    def of_classes(t: DataFrame) -> DataFrame:
+        t = written(t, "classes")
+        t = _once(t, ["_market_p", "_shown"], of_intents, "intents")
+        t = _once(t, ["event_id", "category", "sub_category"], lambda x: x.withColumn("_context", context_scope_terms(col("event_id"), col("category"), col("sub_category"))), "contexts")
+        t = _once(t, ["_texts"], lambda x: x.withColumn("deadline", extract_deadline(col("_texts"))), "deadlines")
+        return t.select("_class", "market_intent", "market_keywords", F.array_sort(F.array_union("_asked", "_context")).alias("scope_terms"), "deadline")
+
+    base = _once(_once(base, ["bet_title"], of_bets, "bet_titles"), ["market_title"], of_markets, "market_titles")
+    generic = (col("_own_p") == col("_market_p")) | col("_own_generic")
+    base = base.where(~generic | ~col("_asked_generic")).withColumns({
+        "outcome_subject": F.when(~generic, col("_own")).otherwise(col("_asked_for")), "subject_source": F.when(~generic, "bet_title").when(col("_asked_for") != "", "market_title").otherwise(""),
+        "outcome_key": F.when(~generic, col("_own_p")).otherwise(col("_asked_p")),
+    })
+    # the intent is the title without the key: that of the title where it doesn't have the key
+    base = base.withColumn("_shown", F.when(col("_market_p").contains(col("outcome_key")), col("outcome_key")).otherwise(F.lit("")))
+    by = ["event_id", "category", "sub_category", "_market_p", "_shown", "_texts"]
+    base = written(base.withColumn("_class", _digest(F.to_json(F.struct(*by)))).drop("_own", "_own_p", "_own_generic", "_asked_for", "_asked_p", "_asked_generic"), "subjects")
+    classes = of_classes(base.select("_class", *by).distinct().repartition(_tasks(base)))
+    base = base.drop("_market_p", "_shown", "_texts").join(written(classes, "class_terms"), "_class").drop("_class")
     return with_subject_count(written(base, "outcomes"), "event_id")
 
 
@@ -289,7 +318,7 @@ def candidate_type(k_multi: Column, p_multi: Column) -> Column:
 JUDGED = ("is_match", "is_event", "us_districts", "us_states", "countries", "has_relation", "sports", "terms", "scope_terms", "deadline", "event_years", "actor", "multi")
 
 
-def _judged(k: DataFrame, p: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _judged(k: DataFrame, p: DataFrame, k_kinds: DataFrame, p_kinds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs of kinds that don't conflict (k_kind, p_kind, multi flags, scopes: one entry if a scope is shared), and (kind, merged) of both sides.
 
     Kinds are compared all with all, or only those that meet under an outcome key, whichever is less.  Then kinds of a side that
@@ -298,7 +327,7 @@ def _judged(k: DataFrame, p: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     from xmarket.operators import rules
 
     at_k, at_p = (written(df.select("outcome_key", col("kind").alias(f"{s}_kind")).distinct(), "kinds_at") for s, df in (("k", k), ("p", p)))
-    k_kinds, p_kinds = (written(rules.side(df.select("kind", *JUDGED).distinct(), s), "kinds") for s, df in (("k", k), ("p", p)))
+    k_kinds, p_kinds = (written(rules.side(df.select("kind", *JUDGED).distinct(), s), "kinds") for s, df in (("k", k_kinds), ("p", p_kinds)))
     met = at_k.groupBy("outcome_key").agg(F.count(F.lit(1)).alias("a")).join(at_p.groupBy("outcome_key").agg(F.count(F.lit(1)).alias("b")), "outcome_key")
     meetings = met.agg(F.coalesce(F.sum(col("a") * col("b")), F.lit(0))).first()[0]
     if k_kinds.count() * p_kinds.count() <= meetings:
@@ -327,41 +356,139 @@ def _tasks(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+PAIRS_A_TASK = 1 << 24  # of groups that one call of Python scores, about
+
+
 def outcome_candidates(k_profiles: DataFrame, p_profiles: DataFrame, per_bet: int = 5) -> DataFrame:
     """Profiles of both venues joined on the outcome key, compatible ones scored, the best per K bet kept.
 
     An outcome needs an event with several subjects on a side; ties keep the order of P bet ids.  Profiles that differ in nothing
     that a pair is judged by, or are judged alike, are one group: pairs of groups are scored, of a P group only its first bets can be chosen, and
-    conflicts are looked up by pairs of kinds, which are far fewer than pairs of bets.
+    conflicts are looked up by pairs of kinds, which are far fewer than pairs of bets.  Shared keywords are counted in Arrow, through
+    lists of the P groups that have a keyword; only the chosen pairs become rows.
     """
     from xmarket.operators import rules
 
-    def prepared(df: DataFrame) -> DataFrame:
-        feats = rules.pair_features(df.withColumn("title", col("market_title"))).withColumn("multi", col("event_subject_count") > 1)
+    def prepared(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        seen = ("market_title", "event_id", "category", "sub_category", "scope_terms", "deadline", "event_years", "actor", "multi")
+        df = df.withColumn("multi", col("event_subject_count") > 1).withColumn("_case", _digest(F.to_json(F.struct(*seen), {"ignoreNullFields": "false"})))
+        df = written(df.select("_case", *seen, "outcome_key", "market_keywords", "bet_id"), "cases_of")
+        cases = written(df.select("_case", *seen).distinct(), "cases").repartition(_tasks(df))
+        feats = rules.pair_features(cases.withColumn("title", col("market_title")))
         kind = _digest(F.to_json(F.struct(*JUDGED), {"ignoreNullFields": "false"}))
-        return written(feats.select("outcome_key", kind.alias("kind"), "market_keywords", "bet_id", "event_id", *JUDGED), "features")
+        feats = written(feats.select("_case", *JUDGED), "features").withColumn("kind", kind)
+        feats = written(feats, "features")
+        return written(df.join(feats.select("_case", "kind"), "_case").select("kind", "outcome_key", "market_keywords", "bet_id", "event_id"), "members"), feats
 
-    k, p = prepared(k_profiles), prepared(p_profiles)
-    judged, k_merged, p_merged = _judged(k, p)
-    plain = ("outcome_key", "market_keywords", "bet_id", "event_id")
-    k, p = (written(df.select("kind", *plain).join(m, "kind").select(col("merged").alias("kind"), *plain), "members") for df, m in ((k, k_merged), (p, p_merged)))
+    (k, k_feats), (p, p_feats) = prepared(k_profiles), prepared(p_profiles)
+    judged, k_merged, p_merged = _judged(k, p, k_feats, p_feats)
     alike = ["outcome_key", "kind", "market_keywords"]
-    spelled = written(k.select("outcome_key").distinct().withColumn("key_tokens", tokens(col("outcome_key"))), "keys")
-    k_groups = written(k.select(*alike).distinct().join(spelled, "outcome_key").withColumn("k_group", F.monotonically_increasing_id()), "groups")
+    k, p = (df.join(m, "kind").select("outcome_key", col("merged").alias("kind"), "market_keywords", "bet_id", "event_id") for df, m in ((k, k_merged), (p, p_merged)))
+    k = written(k.withColumn("k_group", _digest(F.to_json(F.struct(*alike)))), "members")
+    p = written(p, "members")
     first = top_candidates(p, alike, [F.asc("bet_id"), F.asc("event_id")], per_bet)
-    p_groups = first.groupBy(*alike).agg(F.sort_array(F.collect_list(F.struct(col("bet_id").alias("p_bet"), col("event_id").alias("p_event")))).alias("bets"))
-    p_groups = p_groups.select("outcome_key", col("kind").alias("p_kind"), col("market_keywords").alias("p_words"), "bets")
-    wide = k_groups.select("k_group", "outcome_key", "key_tokens", col("kind").alias("k_kind"), col("market_keywords").alias("k_words"), meaningful(col("market_keywords")).alias("k_meant"))
-    pairs = wide.join(judged, "k_kind").join(p_groups, ["outcome_key", "p_kind"])
-    shared = F.array_intersect("k_words", "p_words")
-    any_multi = col("k_multi") | col("p_multi")
-    kept = pairs.where(overlaps(col("k_meant"), col("p_words"))).withColumn("shared", shared).where((F.size("shared") >= 2) | (F.size("scopes") > 0))
-    scored = kept.withColumn("match_score", pair_score(col("shared"), col("key_tokens"), F.lit(True), col("scopes"), any_multi)).withColumn("candidate_type", candidate_type(col("k_multi"), col("p_multi")))
-    scored = scored.select("k_group", "match_score", "candidate_type", "shared", "key_tokens", F.inline("bets"))
-    best = top_candidates(scored, ["k_group"], [F.desc("match_score"), F.asc("p_bet"), F.asc("p_event")], per_bet).drop("rn")
-    members = k.join(k_groups, alike).select("k_group", "outcome_key", col("bet_id").alias("k_bet"), col("event_id").alias("k_event"))
-    top = top_candidates(members.join(best, "k_group"), ["k_bet"], [F.desc("match_score"), F.asc("p_bet"), F.asc("p_event")], per_bet)
-    return top.select("candidate_type", "match_score", F.array_sort("shared").alias("shared_market_keywords"), col("key_tokens").alias("shared_outcome_keywords"), "k_event", "p_event", "k_bet", "p_bet", "outcome_key")
+    p_groups = first.groupBy(*alike).agg(F.collect_list(F.struct(col("bet_id").alias("p_bet"), col("event_id").alias("p_event"))).alias("bets"))
+    spelled = written(k.select("outcome_key").distinct().withColumn("key_tokens", tokens(col("outcome_key"))), "keys")
+    k_groups = written(k.select("k_group", *alike).distinct(), "groups")
+
+    # a kind of K with the kinds of P that it goes with: their number, whether a scope is shared, whether both sides have several subjects
+    numbers = written(judged.select("p_kind").distinct().withColumn("p_no", F.monotonically_increasing_id()), "numbers")
+    code = col("p_no") * 4 + F.when(F.size("scopes") > 0, 2).otherwise(0) + F.when(candidate_type(col("k_multi"), col("p_multi")) == "outcome_outcome", 1).otherwise(0)
+    fits = judged.join(numbers, "p_kind").groupBy(col("k_kind").alias("kind")).agg(F.collect_list(code).alias("fits"))
+    p_groups = written(p_groups.join(numbers, p_groups.kind == numbers.p_kind).select("outcome_key", "p_no", col("market_keywords").alias("p_words"), "bets"), "groups")
+    sizes = k_groups.groupBy("outcome_key").agg(F.count(F.lit(1)).alias("a")).join(p_groups.groupBy("outcome_key").agg(F.count(F.lit(1)).alias("b")), "outcome_key")
+    sizes = written(sizes.select("outcome_key", F.ceil(col("a") * col("b") / PAIRS_A_TASK).cast("int").alias("parts")), "sizes")
+    none, some = F.array().cast(NONE), F.array(F.lit(""))
+    points = [pair_score(none, col("key_tokens"), F.lit(True), scopes, F.lit(True)).alias(name) for scopes, name in ((none, "points"), (some, "points_scope"))]
+    meant = meaningful(col("market_keywords"))
+    member = F.struct("k_group", F.size(meant).alias("meant"), F.concat(meant, F.array_except("market_keywords", meant)).alias("words"))
+    wide = k_groups.join(sizes, "outcome_key").withColumn("part", F.pmod(F.xxhash64("k_group"), col("parts")).cast("int"))
+    wide = wide.groupBy("outcome_key", "part", "kind").agg(F.collect_list(member).alias("groups")).join(fits, "kind")
+    wide = wide.join(spelled, "outcome_key").select("outcome_key", "part", "fits", "groups", *points)
+    each = p_groups.join(sizes, "outcome_key").withColumn("part", F.explode(F.sequence(F.lit(0), col("parts") - 1))).drop("parts")
+    tasks, key = 4 * _tasks(k), ["outcome_key", "part"]
+    met = wide.repartition(tasks, *key).groupBy(*key).cogroup(each.repartition(tasks, *key).groupBy(*key))
+    best = met.applyInArrow(lambda ks, ps: best_of_groups(ks, ps, per_bet), "k_group string, candidate_type string, match_score int, p_bet string, p_event string, p_words array<string>")
+    members = k.select("k_group", "outcome_key", "market_keywords", col("bet_id").alias("k_bet"), col("event_id").alias("k_event")).join(spelled, "outcome_key")
+    top = top_candidates(members.join(written(best, "best"), "k_group"), ["k_bet"], [F.desc("match_score"), F.asc("p_bet"), F.asc("p_event")], per_bet)
+    shared = F.array_sort(F.array_intersect("market_keywords", "p_words"))
+    return top.select("candidate_type", "match_score", shared.alias("shared_market_keywords"), col("key_tokens").alias("shared_outcome_keywords"), "k_event", "p_event", "k_bet", "p_bet", "outcome_key")
+
+
+def best_of_groups(ks: pa.Table, ps: pa.Table, per_bet: int) -> pa.Table:
+    """The best P bets of each K group of a key by (score, P bet, P event); rows as outcome_candidates() makes them."""
+    group, bet, score, both = [], [], [], []
+    ps = ps.combine_chunks().sort_by("p_no")
+    lists = lambda t, name: pa.concat_arrays(t[name].chunks) if t[name].num_chunks else pa.array([], t.schema.field(name).type)
+    p_words, p_bets, k_groups, k_fits = lists(ps, "p_words"), lists(ps, "bets"), lists(ks, "groups"), lists(ks, "fits")
+    members, bets = k_groups.flatten(), p_bets.flatten()
+    k_words = pc.struct_field(members, "words")
+    n = len(ps)
+    # per keyword the P groups that have it
+    coded = p_words.flatten().dictionary_encode()
+    of = coded.indices.to_numpy()
+    order = np.argsort(of, kind="stable")
+    owners = np.repeat(np.arange(n), pc.list_value_length(p_words).to_numpy())[order]
+    at = np.searchsorted(of[order], np.arange(len(coded.dictionary) + 1))
+    known = pc.fill_null(pc.index_in(k_words.flatten(), value_set=coded.dictionary), -1).to_numpy()
+    word_ends = np.concatenate([[0], np.cumsum(pc.list_value_length(k_words).to_numpy())])
+    meant = pc.struct_field(members, "meant").to_numpy()
+    # per P group the places of its bets in the order of bets
+    rank = np.empty(len(bets), np.int64)
+    rank[pc.sort_indices(pa.table({"b": pc.struct_field(bets, "p_bet"), "e": pc.struct_field(bets, "p_event")}), sort_keys=[("b", "ascending"), ("e", "ascending")]).to_numpy()] = np.arange(len(bets))
+    by_rank, count = np.argsort(rank), pc.list_value_length(p_bets).to_numpy()
+    places = np.full((n, max(1, int(count.max(initial=0)))), -1, np.int64)
+    owner_of_bet = np.repeat(np.arange(n), count)
+    places[owner_of_bet, np.arange(len(bets)) - np.repeat(np.cumsum(count) - count, count)] = rank
+    p_no, first = np.unique(ps["p_no"].to_numpy(), return_index=True)
+    last = np.append(first[1:], n)
+    fit_ends = np.concatenate([[0], np.cumsum(pc.list_value_length(k_fits).to_numpy())])
+    codes, group_ends = k_fits.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(k_groups).to_numpy())])
+    plain, with_scope = ks["points"].to_numpy(), ks["points_scope"].to_numpy()
+    for row in range(len(ks)):
+        fit = codes[fit_ends[row] : fit_ends[row + 1]]
+        where = np.minimum(np.searchsorted(p_no, fit >> 2), len(p_no) - 1)
+        there = p_no[where] == fit >> 2 if n else np.zeros(len(fit), bool)
+        fit, where = fit[there], where[there]
+        if not len(fit):
+            continue
+        size = last[where] - first[where]
+        mine = np.repeat(first[where] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        scope, several = np.repeat(fit >> 1 & 1, size) > 0, np.repeat(fit & 1, size)
+        points = np.where(scope, with_scope[row], plain[row])
+        for g in range(group_ends[row], group_ends[row + 1]):
+            words = known[word_ends[g] : word_ends[g + 1]]
+            runs = [owners[at[w] : at[w + 1]] for w in words.tolist() if w >= 0]
+            important = sum(w >= 0 for w in words[: meant[g]].tolist())
+            if not important:
+                continue
+            counts = np.bincount(np.concatenate(runs[:important]), minlength=n)
+            shared = counts if important == len(runs) else counts + np.bincount(np.concatenate(runs[important:]), minlength=n)
+            shared = shared[mine]
+            good = np.flatnonzero((counts[mine] > 0) & ((shared >= 2) | scope))
+            if not len(good):
+                continue
+            total = shared[good] + points[good]
+            if len(good) > per_bet:  # each group has a bet
+                enough = total >= np.partition(total, -per_bet)[-per_bet]
+                good, total = good[enough], total[enough]
+            place = places[mine[good]]
+            keys = (total.max() - total)[:, None] * len(bets) + place
+            real = np.flatnonzero(place.ravel() >= 0)
+            keys = keys.ravel()[real]
+            if len(keys) > per_bet:
+                real = real[np.argpartition(keys, per_bet - 1)[:per_bet]]
+            which = real // places.shape[1]
+            group.append(np.full(len(which), g))
+            bet.append(by_rank[place.ravel()[real]])
+            score.append(total[which])
+            both.append(several[good[which]])
+    joined = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    bet = joined(bet)
+    return pa.table({
+        "k_group": pc.struct_field(members, "k_group").take(pa.array(joined(group))), "candidate_type": pc.if_else(pa.array(joined(both) > 0), "outcome_outcome", "event_outcome"), "match_score": pa.array(joined(score), pa.int32()),
+        "p_bet": pc.struct_field(bets, "p_bet").take(pa.array(bet)), "p_event": pc.struct_field(bets, "p_event").take(pa.array(bet)), "p_words": p_words.take(pa.array(owner_of_bet[bet])),
+    })
 
 
 def with_subject_count(df: DataFrame, event_col: str = "event_id", *more: str, key: str = "outcome_key") -> DataFrame:
