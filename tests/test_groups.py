@@ -81,6 +81,31 @@ def test_matching_needs_memory_for_edges_only(spark):
     assert len({r.k_id for r in got}) == len({r.p_id for r in got}) == len(got) == 300 and sum(r.weight for r in got) == sum(i % 4 + 1 for i in range(0, 3000, 10)) + 4
 
 
+def test_components_are_found_between_packets_of_edges(spark, monkeypatch):
+    import numpy as np
+
+    from xmarket.operators import matching
+
+    rng = np.random.default_rng(3)
+    rows = [(int(part * 20 + rng.integers(20)), int(part * 50 + rng.integers(50)), float(rng.integers(-2, 30))) for part in range(4) for _ in range(900)] + [(1000 + i, 1000 + i, 1.0) for i in range(5)]
+    w = np.zeros((1005, 1005))
+    for k, p, x in rows:
+        w[k, p] = max(w[k, p], x)
+    best = sum(w[a, b] for a, b in matching.best_assignment(w))
+    df = spark.createDataFrame(rows, "k_id long, p_id long, weight double")
+    sizes, components = [], matching.connected_components
+    monkeypatch.setattr(matching, "connected_components", lambda edges, *a: (sizes.append(edges.count()), components(edges, *a))[1])
+    for forest in (getattr(matching, "FOREST_EDGES", 0), 50):
+        monkeypatch.setattr(matching, "FOREST_EDGES", forest, raising=False)
+        got = matching.maximum_weight_matching(df).collect()
+        assert len({r.k_id for r in got}) == len({r.p_id for r in got}) == len(got)
+        assert sum(r.weight for r in got) == best and all(w[int(r.k_id), int(r.p_id)] == r.weight for r in got)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sizes and sizes[-1] <= 85 * tasks  # K nodes of a task, not some 2,000 edges
+    none = spark.createDataFrame([(None, 1, 99.0), (1, None, 99.0), (2, 3, 4.0)], df.schema)  # without an end a row is no edge
+    assert [tuple(r) for r in matching.maximum_weight_matching(none).collect()] == [("2", "3", 4.0)]
+
+
 def test_matching_of_random_graphs_equals_brute_force():
     import itertools
 

@@ -9,9 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 from pyspark.sql.window import Window
 
 from xmarket.operators.graph import connected_components
+from xmarket.session import written
 
 col = F.col
 
@@ -101,23 +103,112 @@ def best_edges(left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.nd
     return order[mine[mine >= 0]]
 
 
+CHUNK_EDGES = 1 << 20  # edges that a task looks at together
+PACKET_EDGES = 1 << 14  # edges in one row of packets
+FOREST_EDGES = 1 << 21  # edges of forests that one task can join
+PACKET = pa.schema([("root", pa.string()), ("own", pa.list_(pa.string())), ("edges", pa.binary())])
+
+
+def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Per node of 0 to n - 1 the smallest one of its component; a and b are the ends of edges."""
+    root = np.arange(n)
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low != high
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (up := root[root]).tobytes() != root.tobytes():
+            root = up
+
+
+def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    coded = pa.concat_arrays(column.chunks).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def _packets(batches):
+    """Edges (k_id, p_id, weight) of one component as far as a chunk shows, in rows: a K node that stands for it, its K nodes (once), edges as an Arrow stream."""
+
+    def packed(edges: pa.Table):
+        (k, names), (p, others) = _codes(edges["k_id"]), _codes(edges["p_id"])
+        root = _roots(k, p + len(names), len(names) + len(others))  # K nodes have the lower numbers
+        order = np.argsort(root[k], kind="stable")
+        edges, of = edges.take(order), root[k][order]
+        nodes = np.argsort(root[: len(names)], kind="stable")
+        node_of = root[: len(names)][nodes]
+        for r in np.unique(of):
+            first, last = np.searchsorted(of, [r, r + 1])
+            own = names.take(pa.array(nodes[slice(*np.searchsorted(node_of, [r, r + 1]))])).to_pylist()
+            for at in range(first, last, PACKET_EDGES):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, edges.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+                    out.write_table(edges.slice(at, min(PACKET_EDGES, last - at)))
+                yield {"root": names[int(r)].as_py(), "own": own if at == first else [], "edges": sink.getvalue().to_pybytes()}
+
+    def rows(edges: list[pa.RecordBatch]):
+        made, size = [], 0
+        for row in packed(pa.Table.from_batches(edges)):
+            made.append(row)
+            size += len(row["edges"])
+            if size > 1 << 24 or len(made) >= 1000:
+                yield pa.RecordBatch.from_pylist(made, PACKET)
+                made, size = [], 0
+        if made:
+            yield pa.RecordBatch.from_pylist(made, PACKET)
+
+    held, n = [], 0
+    for batch in batches:
+        held, n = [*held, batch], n + len(batch)
+        if n >= CHUNK_EDGES:
+            yield from rows(held)
+            held, n = [], 0
+    if n:
+        yield from rows(held)
+
+
+def _whole(batches):
+    """Components of the edges (root, node) of all batches, of one task: (node, component), a component by one of its nodes."""
+    edges = pa.Table.from_batches(list(batches), pa.schema([("root", pa.string()), ("node", pa.string())]))
+    coded = pa.chunked_array([*edges["root"].chunks, *edges["node"].chunks], pa.string()).combine_chunks().dictionary_encode()
+    ends, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    found = _roots(ends[: len(edges)], ends[len(edges) :], len(names))
+    yield from pa.table({"node": names, "component": names.take(pa.array(found))}).to_batches(10_000)
+
+
 def maximum_weight_matching(edges: DataFrame, k: str = "k_id", p: str = "p_id", weight: str = "weight") -> DataFrame:
     """The edges of a matching of highest total weight; one component is one task's work.
 
-    Repeated edges count once with their highest weight; edges of weight zero or less are never chosen.
+    Repeated edges count once with their highest weight; edges of weight zero or less are never chosen.  Edges are dealt by P node, and each
+    task packs those that its own edges connect: components are found between packets, by a forest of each chunk's K nodes, and edges move in packets.
     """
-    best = edges.where(col(weight) > 0).groupBy(col(k).cast("string").alias("k_id"), col(p).cast("string").alias("p_id")).agg(F.max(weight).cast("double").alias("weight"))
-    named = best.withColumn("src", F.concat(F.lit("k:"), "k_id")).withColumn("dst", F.concat(F.lit("p:"), "p_id"))
-    parts = connected_components(named)
-    grouped = named.join(parts, named.src == parts.node).select("component", "k_id", "p_id", "weight")
-
-    def solve(edges: pa.Table) -> pa.Table:
-        edges = edges.select(["k_id", "p_id", "weight"])
+    named = edges.where(col(weight) > 0).select(col(k).alias("k_id"), col(p).alias("p_id"), col(weight).cast("double").alias("weight"))
+    as_text = [col(c).cast("string").alias(c) for c in ("k_id", "p_id")]
+    if not all(isinstance(named.schema[c].dataType, (IntegralType, StringType)) for c in ("k_id", "p_id")):
+        named = named.select(*as_text, "weight")  # values that differ may have one text
+    dealt = named.where("k_id is not null and p_id is not null").repartition("p_id")
+    best = dealt.groupBy("p_id", "k_id").agg(F.max("weight").alias("weight")).select(*as_text, "weight")
+    packets = written(best.mapInArrow(_packets, "root string, own array<string>, edges binary"), "packets")
+    forest = packets.select("root", F.explode("own").alias("node"))
+    n, before, labels = forest.count(), np.inf, "node string, component string"
+    while FOREST_EDGES < n <= before / 2:  # each task leaves a forest of its edges
+        held = forest.repartition(-(-n // FOREST_EDGES)).mapInArrow(_whole, labels).where("node <> component")
+        forest = written(held.select(col("component").alias("root"), "node"), "forest")
+        n, before = forest.count(), n
+    parts = forest.coalesce(1).mapInArrow(_whole, labels) if n <= FOREST_EDGES else connected_components(forest, "root", "node")
+    parts = written(parts, "components").select(col("node").alias("root"), "component")
+    return _solved(packets.join(parts, "root", "left").withColumn("component", F.coalesce("component", "root")))  # a K node alone has no forest
+
+
+def _solved(packets: DataFrame) -> DataFrame:
+    def solve(packets: pa.Table) -> pa.Table:
+        edges = pa.concat_tables([pa.ipc.open_stream(e.as_buffer()).read_all() for e in packets["edges"]])
         ends = [pc.rank(edges[side], tiebreaker="dense").to_numpy().astype(np.int64) - 1 for side in ("k_id", "p_id")]
         order = np.lexsort((ends[1], ends[0]))  # the same matching whatever the order of the rows
         return edges.take(order[best_edges(ends[0][order], ends[1][order], edges["weight"].to_numpy()[order])])
 
-    return grouped.groupBy("component").applyInArrow(solve, "k_id string, p_id string, weight double")
+    return packets.select("component", "edges").groupBy("component").applyInArrow(solve, "k_id string, p_id string, weight double")
 
 
 STAGE_BONUS = {"review": 300, "detail": 200, "frontier": 200, "tiebreak": 300, "cheap": 0, "legacy": 100}
